@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from checks import features  # noqa: F401  (modules register their queries when imported)
+from checks import (  # noqa: F401  (modules register their queries when imported)
+    features, sources,
+)
 from checks.common import ORACLES, QUERIES
 
 

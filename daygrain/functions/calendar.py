@@ -12,8 +12,8 @@ def parse_day(text: Column | str, fmt: str = "yyyyMMdd") -> Column:
 
 
 def utc_day(ts: Column | str) -> Column:
-    """Calendar day in UTC of a zoned timestamp (the session time zone must be UTC)."""
-    return F.to_date(ts)
+    """Calendar day in UTC of an instant, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
 
 
 def iso_week(day: Column | str) -> Column:

@@ -1,33 +1,45 @@
 """The forecast table: declared schema, upsert by key, back-fill of actual values.
 
-Parquet has no MERGE, so a change is computed as a new frame, written to a staging table, and
-moved over the partitions it touches.  The table is partitioned by origin date: an upsert
-rewrites only the dates it brings, never the whole history.
+Parquet has no MERGE, so a change is computed as a new frame, written to a staging folder, and
+moved over the partitions it touches.  The table is partitioned by the month of the origin date:
+an upsert rewrites only the months it brings, never the whole history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.operators.blocks import lookup
 from daygrain.operators.merging import fill_actuals, truth_for
 from daygrain.series import Series
+from daygrain.session import shared_path
 
 UPSERT_KEY = ("date", "target_date", "model")
+MONTH = "origin_month"
 STORE_COLUMNS = ("date", "target_date", "horizon_day", "forecast", "actual", "model")
 
 
-def create_store(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> None:
+def create_store(spark: SparkSession, table: str, keys: Sequence[str] = (), path: str | None = None) -> None:
+    """Create the forecast table if it does not exist yet, in the warehouse or at a given path."""
     extra = "".join(f"{k} STRING, " for k in keys)
+    place = f" LOCATION '{path}'" if path else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({extra}target_date DATE, horizon_day INT, forecast DOUBLE, "
-        "actual DOUBLE, model STRING, date DATE) USING parquet PARTITIONED BY (date)"
+        f"CREATE TABLE IF NOT EXISTS {table} ({extra}date DATE, target_date DATE, horizon_day INT, forecast DOUBLE, "
+        f"actual DOUBLE, model STRING, {MONTH} STRING) USING parquet PARTITIONED BY ({MONTH}){place}"
     )
 
 
+def read_store(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).drop(MONTH)
+
+
+def month_of(date: str = "date") -> Column:
+    return F.date_format(date, "yyyy-MM")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = UPSERT_KEY) -> DataFrame:
     """Old rows whose key is not in ``new``, then all of ``new``."""
     kept = lookup(old, new.select(*keys).distinct(), list(keys), "left_anti")
@@ -38,30 +50,40 @@ def backfill(store: DataFrame, truth: DataFrame, series: Series, value: str) ->
     return fill_actuals(store, truth, series, value).select(*store.columns)
 
 
-def _replace_partitions(spark: SparkSession, table: str, changed: DataFrame) -> None:
-    staging = f"{table}__staging"
-    changed.write.mode("overwrite").format("parquet").saveAsTable(staging)
-    columns = spark.table(table).columns
-    (
-        spark.table(staging).select(*columns)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-    )
-    spark.sql(f"DROP TABLE {staging}")
+def _months(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """The stored rows of the origin months that occur in ``rows``; other partitions are not read."""
+    wanted = rows.select(month_of().alias(MONTH)).distinct()
+    return spark.table(table).join(wanted, MONTH, "left_semi").drop(MONTH)
+
+
+def _replace_months(spark: SparkSession, table: str, changed: DataFrame) -> None:
+    """Write the change beside the table, then move it over the partitions it holds.
+
+    The rebalance hint lets the engine write few files per month and still split a large month.
+    """
+    staged = shared_path(spark, "staged")
+    changed.withColumn(MONTH, month_of()).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(staged)
+    target = spark.table(table)
+    ready = spark.read.schema(target.schema).parquet(staged).select(*target.columns)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ready.hint("rebalance", MONTH).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def upsert_into(spark: SparkSession, table: str, new: DataFrame, keys: Sequence[str] = UPSERT_KEY) -> None:
-    """Upsert into the stored table, reading and rewriting only the origin dates in ``new``."""
-    old = spark.table(table)
-    touched = lookup(old, new.select("date").distinct(), ["date"], "left_semi")
-    _replace_partitions(spark, table, upsert(touched, new, [*keys]))
+    """Upsert into the stored table, reading and rewriting only the origin months in ``new``."""
+    _replace_months(spark, table, upsert(_months(spark, table, new), new, keys))
 
 
 def backfill_in(spark: SparkSession, table: str, truth: DataFrame, series: Series, value: str) -> None:
-    """Write new actual values into the stored table; only origin dates with a change are rewritten."""
-    store = spark.table(table)
+    """Write new actual values into the stored table; only origin months with a change are rewritten."""
+    store = read_store(spark, table)
     known = truth_for(truth, store, series, value)
     stale = lookup(store, known, [*series.keys, "target_date"], "inner").where(
         ~F.col("actual").eqNullSafe(F.col("__actual"))
     )
-    touched = lookup(store, stale.select("date").distinct(), ["date"], "left_semi")
-    _replace_partitions(spark, table, backfill(touched, truth, series, value))
+    _replace_months(spark, table, backfill(_months(spark, table, stale), truth, series, value))

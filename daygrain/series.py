@@ -33,7 +33,9 @@ class Series:
         kind = df.schema[self.time].dataType
         if isinstance(kind, T.DateType):
             return F.floor(F.unix_date(time) / F.lit(float(self.span)))
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            seconds = F.unix_micros(time.cast("timestamp")) / F.lit(1e6)
-            return F.floor(seconds / F.lit(self.span * 86400.0))
+        if isinstance(kind, T.TimestampType):
+            return F.floor(F.unix_micros(time) / F.lit(self.span * 86400e6))
+        if isinstance(kind, T.TimestampNTZType):
+            clock = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+            return F.floor((F.unix_date(F.to_date(time)) + clock / F.lit(86400.0)) / F.lit(float(self.span)))
         return F.floor(time / F.lit(float(self.span)))

@@ -55,9 +55,10 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Create or replace a catalog table from a query."""
-    df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
+def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
+    """Create or replace a catalog table from a query, in the warehouse or at a given path."""
+    writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
