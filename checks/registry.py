@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import (  # noqa: F401  (modules register their queries when imported)
-    features, sources,
+    cleaning, features, sources,
 )
 from checks.common import ORACLES, QUERIES
 
