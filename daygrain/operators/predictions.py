@@ -45,9 +45,12 @@ def long_from_arrays(scores: DataFrame, series: Series, values: str = "scores")
     )
 
 
-def pick_forecast(rows: DataFrame, candidates: Sequence[str]) -> DataFrame:
-    """``forecast`` = the first non-null of the candidate columns that exist."""
-    present = [F.col(c).cast("double") for c in candidates if c in rows.columns]
+def pick_forecast(rows: DataFrame, candidates: Sequence[str], otherwise: Sequence[str] = ()) -> DataFrame:
+    """``forecast`` = the first non-null of the candidate columns that exist, then of ``otherwise``
+    (any numeric columns of the row)."""
+    present = [F.col(c).cast("double") for c in [*candidates, *otherwise] if c in rows.columns]
+    if not present:
+        raise ValueError(f"none of {[*candidates, *otherwise]} among {rows.columns}")
     return rows.withColumn("forecast", first_present(present))
 
 

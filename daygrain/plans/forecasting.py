@@ -84,10 +84,11 @@ def forecast_latest(
 
 
 def save_forecast(
-    spark: SparkSession, forecasts: DataFrame, truth: DataFrame, series: Series, value: str, table: str
+    spark: SparkSession, forecasts: DataFrame, truth: DataFrame, series: Series, value: str, table: str,
+    path: str | None = None,
 ) -> None:
     """Fill known actual values, upsert the rows into the store, then back-fill older rows."""
-    create_store(spark, table, series.keys)
+    create_store(spark, table, series.keys, path)
     new = fill_actuals(forecasts.withColumn("actual", F.lit(None).cast("double")), truth, series, value)
     upsert_into(spark, table, new, [*series.keys, "date", "target_date", "model"])
     backfill_in(spark, table, truth, series, value)
