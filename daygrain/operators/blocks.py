@@ -155,14 +155,16 @@ def over_series(
     build: Callable[[WindowSpec], Sequence[Column]],
     lookback: int = 0,
     lookahead: int = 0,
+    per_block: DataFrame | None = None,
 ) -> DataFrame:
     """Add the window columns ``build(w)`` makes; ``w`` orders a series by time.
 
     ``lookback`` and ``lookahead`` are the numbers of rows the frames reach before and after
-    the current row.
+    the current row.  ``per_block`` takes a halo made earlier (``written(halo(...), name)``) for
+    the same rows and at least the same reach, to use it for several calls.
     """
-    rows = spread(df, series, halo(df, series, lookback, lookahead))
-    return only_home(rows.select("*", *build(block_window(series))))
+    reach = per_block if per_block is not None else halo(df, series, lookback, lookahead)
+    return only_home(spread(df, series, reach).select("*", *build(block_window(series))))
 
 
 def with_row_index(df: DataFrame, series: Series, index: str = "row_idx", total: str = "n_rows") -> DataFrame:

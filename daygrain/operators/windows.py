@@ -19,34 +19,32 @@ from daygrain.operators.blocks import over_series, with_row_index
 from daygrain.series import Series
 
 
-def full(column: str, rows: int, w: WindowSpec, value: Column) -> Column:
-    """``value`` only where the last ``rows`` rows all hold a value of ``column``."""
-    return F.when(F.count(column).over(w.rowsBetween(-(rows - 1), 0)) == rows, value)
-
-
-def rolling(column: str, rows: int, w: WindowSpec, aggregate: Column) -> Column:
-    return full(column, rows, w, aggregate.over(w.rowsBetween(-(rows - 1), 0)))
+def rolling(column: str, rows: int, w: WindowSpec, *aggregates: Column) -> list[Column]:
+    """The aggregates over the last ``rows`` rows, each null unless all of them hold a value."""
+    frame = w.rowsBetween(-(rows - 1), 0)
+    whole = F.count(column).over(frame) == rows
+    return [F.when(whole, a.over(frame)) for a in aggregates]
 
 
 def rolling_mean(column: str, rows: int, w: WindowSpec) -> Column:
-    return rolling(column, rows, w, F.avg(column))
+    return rolling(column, rows, w, F.avg(column))[0]
 
 
 def rolling_std(column: str, rows: int, w: WindowSpec) -> Column:
-    return rolling(column, rows, w, F.stddev_samp(column))
+    return rolling(column, rows, w, F.stddev_samp(column))[0]
 
 
 def rolling_max(column: str, rows: int, w: WindowSpec) -> Column:
-    return rolling(column, rows, w, F.max(column))
+    return rolling(column, rows, w, F.max(column))[0]
 
 
 def rolling_min(column: str, rows: int, w: WindowSpec) -> Column:
-    return rolling(column, rows, w, F.min(column))
+    return rolling(column, rows, w, F.min(column))[0]
 
 
 def rolling_quantile(column: str, rows: int, p: float, w: WindowSpec) -> Column:
     """Exact quantile of the last few rows, linear interpolation."""
-    return rolling(column, rows, w, F.percentile(column, p))
+    return rolling(column, rows, w, F.percentile(column, p))[0]
 
 
 def lag_block(columns: Sequence[str], lags: Sequence[int], w: WindowSpec) -> list[Column]:
@@ -57,8 +55,8 @@ def rolling_block(columns: Sequence[str], windows: Sequence[int], w: WindowSpec)
     out = []
     for c in columns:
         for n in windows:
-            out.append(rolling_mean(c, n, w).alias(f"{c}_roll{n}_mean"))
-            out.append(rolling_std(c, n, w).alias(f"{c}_roll{n}_std"))
+            mean, std = rolling(c, n, w, F.avg(c), F.stddev_samp(c))
+            out += [mean.alias(f"{c}_roll{n}_mean"), std.alias(f"{c}_roll{n}_std")]
     return out
 
 
@@ -74,7 +72,8 @@ def acceleration(column: str, w: WindowSpec) -> Column:
 
 def volatility(column: str, rows: int, w: WindowSpec) -> Column:
     """Coefficient of variation of the last rows."""
-    return float_divide(rolling_std(column, rows, w), rolling_mean(column, rows, w))
+    std, mean = rolling(column, rows, w, F.stddev_samp(column), F.avg(column))
+    return float_divide(std, mean)
 
 
 def trend_strength(column: str, w: WindowSpec, short: int = 7, long: int = 14) -> Column:
@@ -83,8 +82,9 @@ def trend_strength(column: str, w: WindowSpec, short: int = 7, long: int = 14) -
 
 def week_statistics(column: str, w: WindowSpec, rows: int = 7) -> list[Column]:
     """Quantiles and position of a value within its last week, momentum and trend strength."""
-    p25, p75 = rolling_quantile(column, rows, 0.25, w), rolling_quantile(column, rows, 0.75, w)
-    high, low = rolling_max(column, rows, w), rolling_min(column, rows, w)
+    p25, p75, high, low = rolling(
+        column, rows, w, F.percentile(column, 0.25), F.percentile(column, 0.75), F.max(column), F.min(column)
+    )
     value = F.col(column)
     return [
         p25.alias(f"{column}_rolling_p25"),

@@ -26,6 +26,7 @@ from daygrain.operators.windows import (
     acceleration, difference, lag_block, rolling_block, volatility, week_statistics,
 )
 from daygrain.series import Series
+from daygrain.session import written
 from daygrain.sources.tables import require_columns
 
 # longest look back of the second stage, in rows: the 14-row mean
@@ -76,7 +77,7 @@ def rain_features(
 def _derived(w: WindowSpec) -> list[Column]:
     """Second-stage columns that need only base columns, the window and the attached statistics."""
     t2m, month = F.col("t2m"), F.col("month")
-    monthly = F.col("__monthly")[month]
+    month_mean = F.col("__month_mean")
     named: dict[str, Column] = {
         "t2m_volatility_3d": volatility("t2m", 3, w),
         "t2m_volatility_7d": volatility("t2m", 7, w),
@@ -87,10 +88,10 @@ def _derived(w: WindowSpec) -> list[Column]:
         "tsurf_volatility_3d": volatility("tsurf", 3, w),
         "hdd": heating_degrees(t2m),
         "cdd": cooling_degrees(t2m),
-        "t2m_monthly_avg": monthly["mean"],
-        "t2m_anomaly": t2m - monthly["mean"],
-        "t2m_seasonal_trend": monthly["std"],
-        "t2m_vs_seasonal_avg": t2m - monthly["mean"],
+        "t2m_monthly_avg": month_mean,
+        "t2m_anomaly": t2m - month_mean,
+        "t2m_seasonal_trend": F.col("__month_std"),
+        "t2m_vs_seasonal_avg": t2m - month_mean,
         "t2m_is_extreme_hot": flag(t2m > F.col("__p95")),
         "t2m_is_extreme_cold": flag(t2m < F.col("__p05")),
         **temperature_gradients(),
@@ -115,8 +116,9 @@ def temperature_features(
     5 % and 95 % quantiles) see survivors only.
 
     Which rows survive, which rows each block must borrow for both stages, and the statistics
-    are found on a few narrow columns.  The wide rows then take one join on (series, block) and
-    one shuffle, and both stages share its order.
+    are found on a few narrow columns, in jobs that run when this function is called.  The
+    returned plan then reads the wide rows once, joins the small table of blocks, and takes one
+    shuffle, whose order both stages share.
 
     ``carry`` names further columns (forecast targets) that must be complete too.  ``fit_until``
     limits the statistics to rows up to that date, so a test period does not leak into them.
@@ -139,16 +141,22 @@ def temperature_features(
         filled = [F.sum("__roll_ok").over(w.rowsBetween(-(n - 1), 0)) == n for n in windows]
         return reduce(lambda a, b: a & b, [*before, *filled], F.col("__row_ok"))
 
-    # narrow pass: survivors, their statistics, and what each block has to borrow
-    narrow = rows.select(*keys, time, *series.tie, "month", "t2m", "__row_ok", "__lag_ok", "__roll_ok")
+    # narrow pass: survivors, their statistics, and what each block has to borrow; each table
+    # is used several times, so it is written once
+    narrow = written(
+        rows.select(*keys, time, *series.tie, "month", "t2m", "__row_ok", "__lag_ok", "__roll_ok"), "narrow"
+    )
     first_bounds = rows_before(narrow, series, reach)
     w = block_window(series)
-    survivors = only_home(
-        spread(narrow, series, as_targets([first_bounds], narrow, series)).select(
-            "*", survives(w).alias("__kept"),
-            F.lag(time, reach).over(w).alias("__reach"), F.lag(HOME, reach).over(w).alias("__reach_block"),
-        )
-    ).where("__kept")
+    survivors = written(
+        only_home(
+            spread(narrow, series, as_targets([first_bounds], narrow, series)).select(
+                *keys, time, "month", "t2m", HOME, BLOCK, survives(w).alias("__kept"),
+                F.lag(time, reach).over(w).alias("__reach"), F.lag(HOME, reach).over(w).alias("__reach_block"),
+            )
+        ).where("__kept"),
+        "survivors",
+    )
     second_bounds = rows_before(survivors, series, SECOND_STAGE_ROWS, "__reach", "__reach_block")
     fitted = survivors if fit_until is None else survivors.where(F.col(time) <= F.lit(fit_until).cast("date"))
     monthly = fitted.groupBy(*keys, "month").agg(
@@ -157,10 +165,14 @@ def temperature_features(
     extremes = exact_quantiles(fitted, series, "t2m", {"__p05": 0.05, "__p95": 0.95})
     per_block = with_block(narrow, series).select(*keys, BLOCK).distinct()
     per_block = add_series_stats(add_series_stats(per_block, monthly, keys), extremes, keys)
-    per_block = lookup(per_block, as_targets([first_bounds, second_bounds], narrow, series), [*keys, BLOCK])
+    targets = as_targets([first_bounds, second_bounds], narrow, series)
+    per_block = written(lookup(per_block, targets, [*keys, BLOCK]), "per_block")
 
     # wide pass
-    wide = spread(rows, series, per_block, ["__monthly", "__p05", "__p95"])
+    own_month = F.col("__monthly")[F.col("month")]
+    wide = spread(rows, series, per_block, ["__monthly", "__p05", "__p95"]).select(
+        "*", own_month["mean"].alias("__month_mean"), own_month["std"].alias("__month_std")
+    ).drop("__monthly")
     hidden = [c for c in wide.columns if c.startswith("__")]
     stage_one = wide.select("*", survives(w).alias("__kept"), *_first_stage(lagged, rolled, lags, windows, w)).where("__kept")
     visible = [c for c in stage_one.columns if c not in (*hidden, "__kept")]

@@ -57,3 +57,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back.
+
+    For results used several times: they are computed once, stay columnar, survive the loss of
+    executors, and later plans know their true size, so a small one is broadcast and a large
+    one is not.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
