@@ -10,10 +10,9 @@ from daygrain.functions import calendar as cal
 from daygrain.functions import numeric as num
 from daygrain.operators import cleaning as cl
 from daygrain.operators import quality as q
-from daygrain.operators.blocks import over_series
 from daygrain.operators.merging import outer_merge, truth_for
 from daygrain.operators.predictions import persistence, pick_forecast
-from daygrain.operators.windows import lag_block, rolling_block
+from daygrain.operators.windows import over_recent, past, rolling_block
 from daygrain.plans.prepare import prepare
 from daygrain.plans.reports import column_profile
 from daygrain.series import Series
@@ -218,9 +217,8 @@ FRAME3 = f"OVER (PARTITION BY {K} ORDER BY date ROWS BETWEEN 2 PRECEDING AND CUR
 def j6(spark, sf):
     panel = daily_panel(spark, sf, ("t2m",))
     season = cal.cyclic(F.month("date"), 12.0)[0].alias("month_sin")
-    return shown(over_series(
-        panel, PANEL_SERIES, lambda w: [*lag_block(["t2m"], [2], w), *rolling_block(["t2m"], [3], w), season], lookback=2
-    ))
+    columns = [past("t2m", 2).alias("t2m_lag2"), *rolling_block(["t2m"], [3]), season]
+    return shown(over_recent(panel, PANEL_SERIES, {"t2m": 2}, columns))
 
 
 @check("j7_append_rows", "SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_totalprice > 400000")

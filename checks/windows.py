@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from checks.common import DAILY_SERIES, KEYS, PANEL_SERIES, check, cols, daily_panel, r, shown, table, with_panel
 from daygrain.operators import sequences as seq
 from daygrain.operators import windows as W
-from daygrain.operators.blocks import over_series
 from daygrain.operators.stats import exact_quantiles, with_group_stats
 from daygrain.operators.blocks import attach
 from daygrain.functions.numeric import flag, temperature_gradients, weather_interactions
@@ -32,11 +30,10 @@ def result(named: dict[str, str], measures=("t2m",), tail=OVER):
     return with_panel(f"SELECT {K}, strftime(date, '%Y-%m-%d') AS date, {shown_cols} FROM panel {tail}", measures)
 
 
-def windowed(spark, sf, build, lookback=0, lookahead=0, measures=("t2m",)):
-    """Key columns, date and what ``build`` adds."""
-    panel = daily_panel(spark, sf, measures)
-    built = over_series(panel, PANEL_SERIES, build, lookback, lookahead)
-    return shown(built.drop(*measures))
+def recent(spark, sf, depth, columns):
+    """Key columns, date and columns made from the last values."""
+    panel = daily_panel(spark, sf, tuple(depth))
+    return shown(W.over_recent(panel, PANEL_SERIES, depth, columns).drop(*depth))
 
 
 @check("w1_lag_block", result({f"{c}_lag{k}": f"lag({c}, {k}) OVER w" for c in ("t2m", "ts", "gwettop") for k in range(1, 8)}, ("t2m", "ts", "gwettop")))
@@ -60,12 +57,17 @@ def w1_events(spark, sf):
 
 @check("w3_rolling_mean", result({f"m{n}": roll("avg(t2m)", "t2m", n) for n in (3, 7)}, tail=""))
 def w3(spark, sf):
-    return windowed(spark, sf, lambda w: [W.rolling_mean("t2m", n, w).alias(f"m{n}") for n in (3, 7)], 6)
+    return recent(spark, sf, {"t2m": 6}, [W.rolling_mean("t2m", n).alias(f"m{n}") for n in (3, 7)])
 
 
 @check("w4_rolling_std", result({f"s{n}": roll("stddev_samp(t2m)", "t2m", n) for n in (3, 7)}, tail=""))
 def w4(spark, sf):
-    return windowed(spark, sf, lambda w: [W.rolling_std("t2m", n, w).alias(f"s{n}") for n in (3, 7)], 6)
+    return recent(spark, sf, {"t2m": 6}, [W.rolling_std("t2m", n).alias(f"s{n}") for n in (3, 7)])
+
+
+@check("w5_rolling_month_and_year", result({f"t2m_roll{n}_{k}": roll(f"{fn}(t2m)", "t2m", n) for n in (30, 365) for k, fn in (("mean", "avg"), ("std", "stddev_samp"))}, tail=""))
+def w5_long(spark, sf):
+    return shown(W.add_rolling(daily_panel(spark, sf, ("t2m",)), PANEL_SERIES, ["t2m"], [30, 365]).drop("t2m"))
 
 
 ROLLED = ("t2m", "t2m_max", "t2m_min", "ts", "gwettop")
@@ -85,11 +87,8 @@ P25, P75 = roll("quantile_cont(t2m, 0.25)", "t2m", 7), roll("quantile_cont(t2m,
 
 @check("w6_rolling_quantiles", result({"p25": P25, "p75": P75, "iqr": f"({P75}) - ({P25})"}, tail=""))
 def w6(spark, sf):
-    def build(w):
-        p25, p75 = W.rolling_quantile("t2m", 7, 0.25, w), W.rolling_quantile("t2m", 7, 0.75, w)
-        return [p25.alias("p25"), p75.alias("p75"), (p75 - p25).alias("iqr")]
-
-    return windowed(spark, sf, build, 6)
+    p25, p75 = W.rolling_quantile("t2m", 7, 0.25), W.rolling_quantile("t2m", 7, 0.75)
+    return recent(spark, sf, {"t2m": 6}, [p25.alias("p25"), p75.alias("p75"), (p75 - p25).alias("iqr")])
 
 
 HI, LO = roll("max(t2m)", "t2m", 7), roll("min(t2m)", "t2m", 7)
@@ -97,31 +96,29 @@ HI, LO = roll("max(t2m)", "t2m", 7), roll("min(t2m)", "t2m", 7)
 
 @check("w7_position_in_week", result({"position": f"t2m / (({HI}) + 0.001)", "to_max": f"t2m - ({HI})", "to_min": f"t2m - ({LO})"}, tail=""))
 def w7(spark, sf):
-    def build(w):
-        value, high, low = F.col("t2m"), W.rolling_max("t2m", 7, w), W.rolling_min("t2m", 7, w)
-        return [(value / (high + 0.001)).alias("position"), (value - high).alias("to_max"), (value - low).alias("to_min")]
-
-    return windowed(spark, sf, build, 6)
+    value, high, low = F.col("t2m"), W.rolling_max("t2m", 7), W.rolling_min("t2m", 7)
+    columns = [(value / (high + 0.001)).alias("position"), (value - high).alias("to_max"), (value - low).alias("to_min")]
+    return recent(spark, sf, {"t2m": 6}, columns)
 
 
 @check("w8_difference", result({"change": "t2m - lag(t2m, 1) OVER w"}))
 def w8(spark, sf):
-    return windowed(spark, sf, lambda w: [W.difference("t2m", w).alias("change")], 1)
+    return recent(spark, sf, {"t2m": 1}, [W.difference("t2m").alias("change")])
 
 
 @check("w9_acceleration", result({"acceleration": "(t2m - lag(t2m, 1) OVER w) - (lag(t2m, 1) OVER w - lag(t2m, 2) OVER w)"}))
 def w9(spark, sf):
-    return windowed(spark, sf, lambda w: [W.acceleration("t2m", w).alias("acceleration")], 2)
+    return recent(spark, sf, {"t2m": 2}, [W.acceleration("t2m").alias("acceleration")])
 
 
 @check("w10_momentum", result({f"momentum_{k}d": f"t2m - lag(t2m, {k}) OVER w" for k in (3, 7)}))
 def w10(spark, sf):
-    return windowed(spark, sf, lambda w: [W.difference("t2m", w, k).alias(f"momentum_{k}d") for k in (3, 7)], 7)
+    return recent(spark, sf, {"t2m": 7}, [W.difference("t2m", k).alias(f"momentum_{k}d") for k in (3, 7)])
 
 
 @check("w11_trend_strength", result({"strength": f"({roll('avg(t2m)', 't2m', 7)}) - ({roll('avg(t2m)', 't2m', 14)})"}, tail=""))
 def w11(spark, sf):
-    return windowed(spark, sf, lambda w: [W.trend_strength("t2m", w).alias("strength")], 13)
+    return recent(spark, sf, {"t2m": 13}, [W.trend_strength("t2m").alias("strength")])
 
 
 def vol(c, n):
@@ -131,7 +128,7 @@ def vol(c, n):
 @check("w12_volatility", result({"t2m_3": vol("t2m", 3), "t2m_7": vol("t2m", 7), "ts_3": vol("ts", 3), "tsurf_3": vol("tsurf", 3), "t10m_3": vol("t10m", 3)}, ("t2m", "ts", "tsurf", "t10m"), ""))
 def w12(spark, sf):
     pairs = [("t2m", 3), ("t2m", 7), ("ts", 3), ("tsurf", 3), ("t10m", 3)]
-    return windowed(spark, sf, lambda w: [W.volatility(c, n, w).alias(f"{c}_{n}") for c, n in pairs], 6, 0, ("t2m", "ts", "tsurf", "t10m"))
+    return recent(spark, sf, {"t2m": 6, "ts": 2, "tsurf": 2, "t10m": 2}, [W.volatility(c, n).alias(f"{c}_{n}") for c, n in pairs])
 
 
 @check(
@@ -146,10 +143,10 @@ def w12(spark, sf):
 )
 def w13(spark, sf):
     panel = daily_panel(spark, sf, ("t2m", "ts"))
-    derived = over_series(panel, PANEL_SERIES, lambda w: [
-        W.difference("t2m", w).alias("change"), W.volatility("t2m", 3, w).alias("volatility"),
+    derived = W.over_recent(panel, PANEL_SERIES, {"t2m": 2}, [
+        W.difference("t2m").alias("change"), W.volatility("t2m", 3).alias("volatility"),
         (F.col("t2m") - F.col("ts")).alias("gradient"),
-    ], 2)
+    ])
     return shown(W.add_lags(derived, PANEL_SERIES, ["change", "volatility", "gradient"], [1, 2, 3]).drop(
         "t2m", "ts", "change", "volatility", "gradient"
     ))

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import WindowSpec
 
 from daygrain.constants import (
     RAIN_BASE, RAIN_LAGS, RAIN_ROLLING, ROLLING_WINDOWS, TEMPERATURE_BASE, TEMPERATURE_LAGS, TEMPERATURE_ROLLING,
@@ -18,12 +17,13 @@ from daygrain.functions.numeric import (
     cooling_degrees, flag, heating_degrees, nan_to_null, temperature_gradients, weather_interactions,
 )
 from daygrain.operators.blocks import (
-    BLOCK, HOME, add_series_stats, as_targets, block_window, lookup, only_home, over_series, rows_before, spread,
+    BLOCK, HOME, add_series_stats, as_targets, block_window, lookup, only_home, rows_before, spread,
     with_block,
 )
 from daygrain.operators.stats import exact_quantiles
 from daygrain.operators.windows import (
-    acceleration, difference, lag_block, rolling_block, volatility, week_statistics,
+    acceleration, difference, lag_block, last_values, over_recent, past, past_block, rolling_block, volatility,
+    week_statistics,
 )
 from daygrain.series import Series
 from daygrain.session import written
@@ -49,15 +49,21 @@ def _all_known(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
 
 
-def _first_stage(lagged: Sequence[str], rolled: Sequence[str], lags: Sequence[int], windows: Sequence[int], w: WindowSpec) -> list[Column]:
+def _first_stage(lagged: Sequence[str], rolled: Sequence[str], lags: Sequence[int], windows: Sequence[int]) -> list[Column]:
     seasonal = seasonal_encodings(F.col("month"), F.col("dayofyear"))
     return [
         *[c.alias(name) for name, c in seasonal.items()],
-        *lag_block(lagged, lags, w),
-        *rolling_block(rolled, windows, w),
+        *[past(c, k).alias(f"{c}_lag{k}") for c in lagged for k in lags],
+        *rolling_block(rolled, windows),
     ]
 
 
+def _depth(lagged: Sequence[str], rolled: Sequence[str], lags: Sequence[int], windows: Sequence[int]) -> dict[str, int]:
+    """How many rows back each base column is needed."""
+    rolls = max(windows) - 1
+    return {c: max(max(lags), rolls if c in rolled else 0) for c in lagged}
+
+
 def rain_features(
     df: DataFrame, series: Series, carry: Sequence[str] = (), base: Sequence[str] = RAIN_BASE,
     lags: Sequence[int] = RAIN_LAGS, windows: Sequence[int] = ROLLING_WINDOWS, rolling: Sequence[str] = RAIN_ROLLING,
@@ -67,25 +73,28 @@ def rain_features(
     require_columns(rows, ["month"])
     lagged = [c for c in present if c != "month"]
     rolled = [c for c in rolling if c in present]
-    built = over_series(
-        rows, series, lambda w: _first_stage(lagged, rolled, lags, windows, w),
-        lookback=max([*lags, *[n - 1 for n in windows]]),
+    built = over_recent(
+        rows, series, _depth(lagged, rolled, lags, windows), _first_stage(lagged, rolled, lags, windows)
     )
     return built.na.drop(subset=[c for c in built.columns if c not in series.keys])
 
 
-def _derived(w: WindowSpec) -> list[Column]:
-    """Second-stage columns that need only base columns, the window and the attached statistics."""
+# how many rows back the second stage needs each column, counted in surviving rows
+SECOND_STAGE_DEPTH = {"t2m": SECOND_STAGE_ROWS, "t10m": 2, "ts": 2, "tsurf": 2}
+
+
+def _derived() -> list[Column]:
+    """Second-stage columns from base columns, their last values and the attached statistics."""
     t2m, month = F.col("t2m"), F.col("month")
     month_mean = F.col("__month_mean")
     named: dict[str, Column] = {
-        "t2m_volatility_3d": volatility("t2m", 3, w),
-        "t2m_volatility_7d": volatility("t2m", 7, w),
-        "t2m_daily_change": difference("t2m", w),
-        "t2m_acceleration": acceleration("t2m", w),
-        "t10m_volatility_3d": volatility("t10m", 3, w),
-        "ts_volatility_3d": volatility("ts", 3, w),
-        "tsurf_volatility_3d": volatility("tsurf", 3, w),
+        "t2m_volatility_3d": volatility("t2m", 3),
+        "t2m_volatility_7d": volatility("t2m", 7),
+        "t2m_daily_change": difference("t2m"),
+        "t2m_acceleration": acceleration("t2m"),
+        "t10m_volatility_3d": volatility("t10m", 3),
+        "ts_volatility_3d": volatility("ts", 3),
+        "tsurf_volatility_3d": volatility("tsurf", 3),
         "hdd": heating_degrees(t2m),
         "cdd": cooling_degrees(t2m),
         "t2m_monthly_avg": month_mean,
@@ -99,7 +108,7 @@ def _derived(w: WindowSpec) -> list[Column]:
     }
     return [
         *[c.alias(name) for name, c in named.items()],
-        *week_statistics("t2m", w),
+        *week_statistics("t2m"),
         *[c.alias(name) for name, c in frequency_encodings(month, F.col("dayofyear")).items()],
     ]
 
@@ -133,13 +142,12 @@ def temperature_features(
         "*",
         _all_known([time, *present, *carry]).alias("__row_ok"),
         _all_known(lagged).alias("__lag_ok"),
-        _all_known(rolled).cast("int").alias("__roll_ok"),
+        _all_known(rolled).alias("__roll_ok"),
     )
 
-    def survives(w: WindowSpec) -> Column:
-        before = [F.coalesce(F.lag("__lag_ok", k).over(w), F.lit(False)) for k in lags]
-        filled = [F.sum("__roll_ok").over(w.rowsBetween(-(n - 1), 0)) == n for n in windows]
-        return reduce(lambda a, b: a & b, [*before, *filled], F.col("__row_ok"))
+    flags = {"__lag_ok": max(lags), "__roll_ok": max(windows) - 1}
+    needed_flags = [*[past("__lag_ok", k) for k in lags], *last_values("__roll_ok", max(windows))]
+    survives = reduce(lambda a, b: a & F.coalesce(b, F.lit(False)), needed_flags, F.col("__row_ok"))
 
     # narrow pass: survivors, their statistics, and what each block has to borrow; each table
     # is used several times, so it is written once
@@ -151,10 +159,10 @@ def temperature_features(
     survivors = written(
         only_home(
             spread(narrow, series, as_targets([first_bounds], narrow, series)).select(
-                *keys, time, "month", "t2m", HOME, BLOCK, survives(w).alias("__kept"),
+                "*", *past_block(flags, w),
                 F.lag(time, reach).over(w).alias("__reach"), F.lag(HOME, reach).over(w).alias("__reach_block"),
-            )
-        ).where("__kept"),
+            ).where(survives)
+        ).select(*keys, time, "month", "t2m", "__reach", "__reach_block"),
         "survivors",
     )
     second_bounds = rows_before(survivors, series, SECOND_STAGE_ROWS, "__reach", "__reach_block")
@@ -173,10 +181,13 @@ def temperature_features(
     wide = spread(rows, series, per_block, ["__monthly", "__p05", "__p95"]).select(
         "*", own_month["mean"].alias("__month_mean"), own_month["std"].alias("__month_std")
     ).drop("__monthly")
-    hidden = [c for c in wide.columns if c.startswith("__")]
-    stage_one = wide.select("*", survives(w).alias("__kept"), *_first_stage(lagged, rolled, lags, windows, w)).where("__kept")
-    visible = [c for c in stage_one.columns if c not in (*hidden, "__kept")]
-    stage_two = stage_one.select(*visible, HOME, BLOCK, *_derived(w))
+    stats = ["__month_mean", "__month_std", "__p05", "__p95"]
+    depth = {**_depth(lagged, rolled, lags, windows), **flags}
+    visible = [c for c in rows.columns if not c.startswith("__")]
+    first = _first_stage(lagged, rolled, lags, windows)
+    stage_one = wide.select("*", *past_block(depth, w)).where(survives).select(*visible, *stats, HOME, BLOCK, *first)
+    visible = [c for c in stage_one.columns if not c.startswith("__")]
+    stage_two = stage_one.select("*", *past_block(SECOND_STAGE_DEPTH, w)).select(*visible, HOME, BLOCK, *_derived())
     stage_three = stage_two.select("*", *lag_block(DERIVED, DERIVED_LAGS, w))
     finished = only_home(stage_three)
     added = [c for c in finished.columns if c not in visible]
