@@ -59,22 +59,30 @@ def _all_known(values: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
 
 
-def _deviations(values: Sequence[Column]) -> tuple[Column, Column]:
-    """Sum and sum of squares of the distances to the first value: no loss for large offsets."""
-    away = [v - values[0] for v in values[1:]]
-    return reduce(lambda a, b: a + b, away), reduce(lambda a, b: a + b, [d * d for d in away])
+def _mean_and_std(values: Sequence[Column], sizes: Sequence[int]) -> dict[int, tuple[Column, Column]]:
+    """Mean and sample standard deviation of the first n values, for each n in ``sizes``.
+
+    Both come from sums of distances to the first value: no loss for large offsets, and exactly
+    0 deviation for equal values.  The sums of a longer window continue those of a shorter one.
+    """
+    first, out = values[0], {}
+    total = squares = None
+    for n, value in enumerate(values[1 : max(sizes)], start=2):
+        away = value - first
+        total = away if total is None else total + away
+        squares = away * away if squares is None else squares + away * away
+        if n in sizes:
+            share = total / float(n)
+            out[n] = (first + share, F.sqrt(above_zero((squares - total * share) / (n - 1.0))))
+    return out
 
 
 def mean_of(values: Sequence[Column]) -> Column:
-    total, _ = _deviations(values)
-    return values[0] + total / F.lit(float(len(values)))
+    return _mean_and_std(values, [len(values)])[len(values)][0]
 
 
 def std_of(values: Sequence[Column]) -> Column:
-    """Sample standard deviation; exactly 0 for equal values."""
-    n = float(len(values))
-    total, squares = _deviations(values)
-    return F.sqrt(above_zero((squares - total * total / F.lit(n)) / F.lit(n - 1.0)))
+    return _mean_and_std(values, [len(values)])[len(values)][1]
 
 
 def max_of(values: Sequence[Column]) -> Column:
@@ -115,12 +123,13 @@ def rolling_quantile(column: str, rows: int, p: float) -> Column:
 
 
 def rolling_block(columns: Sequence[str], windows: Sequence[int]) -> list[Column]:
-    return [
-        make(c, n).alias(f"{c}_roll{n}_{name}")
-        for c in columns
-        for n in windows
-        for name, make in (("mean", rolling_mean), ("std", rolling_std))
-    ]
+    out = []
+    for c in columns:
+        by_size = _mean_and_std(last_values(c, max(windows)), windows)
+        for n in windows:
+            mean, std = by_size[n]
+            out += [mean.alias(f"{c}_roll{n}_mean"), std.alias(f"{c}_roll{n}_std")]
+    return out
 
 
 def difference(column: str, rows: int = 1) -> Column:
@@ -134,11 +143,13 @@ def acceleration(column: str) -> Column:
 
 def volatility(column: str, rows: int) -> Column:
     """Coefficient of variation of the last rows."""
-    return float_divide(rolling_std(column, rows), rolling_mean(column, rows))
+    mean, std = _mean_and_std(last_values(column, rows), [rows])[rows]
+    return float_divide(std, mean)
 
 
 def trend_strength(column: str, short: int = 7, long: int = 14) -> Column:
-    return rolling_mean(column, short) - rolling_mean(column, long)
+    means = _mean_and_std(last_values(column, long), [short, long])
+    return means[short][0] - means[long][0]
 
 
 def week_statistics(column: str, rows: int = 7) -> list[Column]:

@@ -11,6 +11,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small local inputs: keep all cores busy instead of merging shuffle partitions to 1 MB
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "12g",
