@@ -204,7 +204,8 @@ def a20(spark, sf):
     return shown(ev.forecast_summary(rows, [*KEYS, "date"]))
 
 
-LISTED = ("t2m_max", "t2m_min", "ts", "evland", "evptrns", "gwettop", "prectotcorr", "ws10m")
+# evland is left out: here it is gwettop times 100, and equal scores have no order of their own
+LISTED = ("t2m_max", "t2m_min", "ts", "evptrns", "gwettop", "prectotcorr", "ws10m")
 
 
 @check(

@@ -187,7 +187,8 @@ def a21_counts(spark, sf):
     return stats.scatter_counts(table(spark, sf, "lineitem"), "l_quantity", ["l_linenumber", "l_suppkey"], 25)
 
 
-TOP_FEATURES = ("t2m_max", "t2m_min", "ts", "evland", "evptrns", "gwettop", "prectotcorr", "ws10m")
+# evland is left out: here it is gwettop times 100, and equal scores have no order of their own
+TOP_FEATURES = ("t2m_max", "t2m_min", "ts", "evptrns", "gwettop", "prectotcorr", "ws10m")
 TOP_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, t2m) AS r FROM panel" for c in TOP_FEATURES)
 
 
@@ -199,6 +200,6 @@ def t2(spark, sf):
 
 
 @check("c5_selection_report", with_panel(
-    f"SELECT a, b, {r('r')} AS r FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM panel" for a in FEATURES for b in FEATURES) + ")", FEATURES))
+    f"SELECT a, b, {r('r')} AS r FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM panel" for a in FEATURES if a != "evland" for b in FEATURES if b != "evland") + ")", FEATURES))
 def c5(spark, sf):
     return shown(selection_report(daily_panel(spark, sf, FEATURES), "t2m", TOP_FEATURES)["matrix"])

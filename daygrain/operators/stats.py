@@ -33,64 +33,53 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) per series, named by ``levels``.
 
-    ``percentile`` keeps every distinct value of a series in one buffer.  Here a mergeable
-    sketch first brackets the wanted ranks (its rank error is at most n/accuracy); the values
-    inside the bracket are counted, reduced to distinct values and ranked.  What is ranked is a
-    small share of a long series, and the result is exact.  Short series (10 x accuracy rows),
-    where the bracket would be narrower than a few ranks, are ranked whole.
+    ``percentile`` keeps every distinct value of a series in one buffer, so it only serves
+    series of up to 10 x accuracy rows.  For longer ones a mergeable sketch first brackets the
+    wanted ranks (its rank error is at most n/accuracy), and only the values inside the brackets
+    are ranked: a small share of the series, and the result is still exact.
     """
-    keys = list(series.keys)
-    values = df.where(F.col(column).isNotNull())
+    keys, names, limit = list(series.keys), list(levels), 10 * accuracy
     slack = 2.0 / accuracy
+    around = [min(max(p + side, 0.0), 1.0) for p in levels.values() for side in (-slack, slack)]
+    values = df.where(F.col(column).isNotNull()).select(*keys, series.time, column)
     bounds = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[
-            F.percentile_approx(column, max(p - slack, 0.0), accuracy).alias(f"__lo_{name}")
-            for name, p in levels.items()
-        ],
-        *[
-            F.percentile_approx(column, min(p + slack, 1.0), accuracy).alias(f"__hi_{name}")
-            for name, p in levels.items()
-        ],
+        F.count(F.lit(1)).alias("__n"), F.percentile_approx(column, around, accuracy).alias("__around")
+    )
+    known = attach(values, bounds, series)
+    short = known.where(F.col("__n") < limit).groupBy(*keys).agg(
+        F.percentile(column, list(levels.values())).alias("q")
     )
-    bracketed = attach(values.select(*keys, series.time, column), bounds, series)
-    long = F.col("__n") >= 10 * accuracy
-    level_rows = F.array(*[
+    exact = short.where(F.col("q").isNotNull()).select(*keys, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+    return exact.unionByName(_bracketed_quantiles(known.where(F.col("__n") >= limit), keys, column, levels))
+
+
+def _bracketed_quantiles(known: DataFrame, keys: Sequence[str], column: str, levels: dict[str, float]) -> DataFrame:
+    """Quantiles of rows that carry the size of their series and a value bracket per level."""
+    brackets = F.array(*[
         F.struct(
-            F.lit(name).alias("name"),
-            F.lit(float(p)).alias("p"),
-            F.when(long, F.col(f"__lo_{name}")).alias("lo"),
-            F.when(long, F.col(f"__hi_{name}")).alias("hi"),
+            F.lit(name).alias("name"), (F.lit(p) * (F.col("__n") - 1)).alias("pos"),
+            F.col("__around")[2 * i].alias("lo"), F.col("__around")[2 * i + 1].alias("hi"),
         )
-        for name, p in levels.items()
+        for i, (name, p) in enumerate(levels.items())
     ])
-    # one row per (series, level, distinct value inside the bracket), and how many lie below it
-    touched = bracketed.select(
-        *keys, "__n", F.col(column).alias("value"), F.explode(level_rows).alias("level")
-    ).where(F.col("level.hi").isNull() | (F.col("value") <= F.col("level.hi")))
-    below = F.coalesce(F.col("value") < F.col("level.lo"), F.lit(False))
-    inside = F.when(~below, F.col("value"))
-    counted = touched.groupBy(*keys, "level.name", "level.p", "__n", inside.alias("value")).agg(
-        F.count(F.lit(1)).alias("times")
-    )
+    value = F.col(column)
+    touched = known.select(*keys, value.alias("value"), F.explode(brackets).alias("b")).where("value <= b.hi")
+    # values below the bracket only count: they become one null entry per level
+    inside = F.when(F.col("value") >= F.col("b.lo"), F.col("value"))
+    counted = touched.groupBy(*keys, "b.name", "b.pos", inside.alias("value")).agg(F.count(F.lit(1)).alias("times"))
     order = Window.partitionBy(*keys, "name").orderBy(F.col("value").asc_nulls_first())
     through = F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    position = F.col("p") * (F.col("__n") - 1)
-    ranked = counted.select(*keys, "name", "value", through.alias("through"), position.alias("pos"))
+    ranked = counted.select(*keys, "name", "pos", "value", through.alias("through"))
 
     def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("value").isNotNull() & (F.col("through") > rank), F.col("value")))
+        return F.min(F.when(F.col("through") > rank, F.col("value")))
 
-    picked = ranked.groupBy(*keys, "name").agg(
-        at(F.floor("pos")).alias("low"), at(F.ceil("pos")).alias("high"), F.max("pos").alias("pos")
-    )
+    ends = ranked.groupBy(*keys, "name", "pos").agg(at(F.floor("pos")).alias("low"), at(F.ceil("pos")).alias("high"))
     share = F.col("pos") - F.floor("pos")
-    step = F.col("high") - F.col("low")
-    between = F.when(share < 0.5, F.col("low") + step * share).otherwise(F.col("high") - step * (1 - share))
-    picked = picked.select(*keys, "name", between.alias("q"))
-    return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("name") == name, F.col("q"))).alias(name) for name in levels]
-    )
+    quantile = F.col("low") + (F.col("high") - F.col("low")) * share
+    named = ends.select(*keys, "name", quantile.alias("q"))
+    grouped = named.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in levels])
+    return grouped.where(F.coalesce(*[F.col(n) for n in levels]).isNotNull())
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
@@ -110,9 +99,11 @@ def _ranges(df: DataFrame, columns: Sequence[str]) -> Column:
 
 def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin 1..bins of equal width; the maximum belongs to the last bin, a constant column to bin 1."""
-    return F.when(lo == hi, F.when(value.isNotNull(), F.lit(1).cast("bigint"))).otherwise(
-        F.least(F.width_bucket(value, lo, hi, F.lit(bins)), F.lit(bins).cast("bigint"))
+    last = F.lit(bins).cast("bigint")
+    equal_width = F.when(lo == hi, F.lit(1).cast("bigint")).otherwise(
+        F.least(F.width_bucket(value, lo, hi, F.lit(bins)), last)
     )
+    return F.when(value.isNotNull(), equal_width)
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
