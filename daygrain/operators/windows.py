@@ -11,14 +11,13 @@ A rolling window of n rows is null until all its n rows hold a value.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from daygrain.constants import HORIZON, TARGETS
-from daygrain.functions.numeric import above_zero, float_divide
+from daygrain.functions.numeric import float_divide
 from daygrain.operators.blocks import BLOCK, HOME, block_window, halo, only_home, over_series, spread, with_row_index
 from daygrain.series import Series
 
@@ -34,7 +33,7 @@ def past_name(column: str, k: int) -> str:
 
 def past(column: str, k: int) -> Column:
     """The value k rows earlier; needs :func:`past_block`."""
-    return F.col(past_name(column, k)) if k else F.col(column)
+    return F.col(past_name(column, k) if k else column)
 
 
 def past_block(depth: Mapping[str, int], w: WindowSpec) -> list[Column]:
@@ -42,8 +41,9 @@ def past_block(depth: Mapping[str, int], w: WindowSpec) -> list[Column]:
     return [F.lag(c, k).over(w).alias(past_name(c, k)) for c, d in depth.items() for k in range(1, d + 1)]
 
 
-def last_values(column: str, rows: int) -> list[Column]:
-    return [past(column, k) for k in range(rows)]
+def last_values(column: str, rows: int) -> list[str]:
+    """SQL names of the value and its lags, newest first."""
+    return [f"`{past_name(column, k) if k else column}`" for k in range(rows)]
 
 
 def over_recent(
@@ -55,59 +55,57 @@ def over_recent(
     return only_home(rows.select(*df.columns, HOME, BLOCK, *columns))
 
 
-def _all_known(values: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
+# The statistics below are SQL text over column names: one expression per statistic is parsed by
+# the engine, where building it operator by operator costs a call into the JVM for each.
 
 
-def _mean_and_std(values: Sequence[Column], sizes: Sequence[int]) -> dict[int, tuple[Column, Column]]:
+def _all_known(values: Sequence[str]) -> str:
+    return " AND ".join(f"{v} IS NOT NULL" for v in values)
+
+
+def _mean_and_std(values: Sequence[str], sizes: Sequence[int]) -> dict[int, tuple[Column, Column]]:
     """Mean and sample standard deviation of the first n values, for each n in ``sizes``.
 
     Both come from sums of distances to the first value: no loss for large offsets, and exactly
-    0 deviation for equal values.  The sums of a longer window continue those of a shorter one.
+    0 deviation for equal values.
     """
     first, out = values[0], {}
-    total = squares = None
-    for n, value in enumerate(values[1 : max(sizes)], start=2):
-        away = value - first
-        total = away if total is None else total + away
-        squares = away * away if squares is None else squares + away * away
-        if n in sizes:
-            share = total / float(n)
-            out[n] = (first + share, F.sqrt(above_zero((squares - total * share) / (n - 1.0))))
+    for n in sizes:
+        away = [f"({v} - {first})" for v in values[1:n]]
+        total, squares = " + ".join(away), " + ".join(f"{d} * {d}" for d in away)
+        variance = f"({squares} - ({total}) * ({total}) / {n}D) / {n - 1}D"
+        out[n] = (
+            F.expr(f"{first} + ({total}) / {n}D"),
+            F.expr(f"sqrt(CASE WHEN {variance} > 0 THEN {variance} WHEN {_all_known(values[:n])} THEN 0D END)"),
+        )
     return out
 
 
-def mean_of(values: Sequence[Column]) -> Column:
-    return _mean_and_std(values, [len(values)])[len(values)][0]
-
-
-def std_of(values: Sequence[Column]) -> Column:
-    return _mean_and_std(values, [len(values)])[len(values)][1]
-
-
-def max_of(values: Sequence[Column]) -> Column:
-    return F.when(_all_known(values), F.greatest(*values))
+def max_of(values: Sequence[str]) -> Column:
+    return F.expr(f"CASE WHEN {_all_known(values)} THEN greatest({', '.join(values)}) END")
 
 
-def min_of(values: Sequence[Column]) -> Column:
-    return F.when(_all_known(values), F.least(*values))
+def min_of(values: Sequence[str]) -> Column:
+    return F.expr(f"CASE WHEN {_all_known(values)} THEN least({', '.join(values)}) END")
 
 
-def quantile_of(values: Sequence[Column], p: float) -> Column:
+def quantile_of(values: Sequence[str], p: float) -> Column:
     """Exact quantile with linear interpolation."""
-    ordered = F.sort_array(F.array(*values))
     position = p * (len(values) - 1)
     low, share = int(position), position - int(position)
-    value = ordered[low] if share == 0 else ordered[low] + (ordered[low + 1] - ordered[low]) * share
-    return F.when(_all_known(values), value)
+    ordered = f"sort_array(array({', '.join(values)}))"
+    value = f"{ordered}[{low}]"
+    if share:
+        value = f"{value} + ({ordered}[{low + 1}] - {value}) * {share!r}D"
+    return F.expr(f"CASE WHEN {_all_known(values)} THEN {value} END")
 
 
 def rolling_mean(column: str, rows: int) -> Column:
-    return mean_of(last_values(column, rows))
+    return _mean_and_std(last_values(column, rows), [rows])[rows][0]
 
 
 def rolling_std(column: str, rows: int) -> Column:
-    return std_of(last_values(column, rows))
+    return _mean_and_std(last_values(column, rows), [rows])[rows][1]
 
 
 def rolling_max(column: str, rows: int) -> Column:

@@ -22,7 +22,7 @@ from daygrain.operators.blocks import (
 )
 from daygrain.operators.stats import exact_quantiles
 from daygrain.operators.windows import (
-    acceleration, difference, lag_block, last_values, over_recent, past, past_block, rolling_block, volatility,
+    acceleration, difference, lag_block, over_recent, past, past_block, rolling_block, volatility,
     week_statistics,
 )
 from daygrain.series import Series
@@ -146,7 +146,9 @@ def temperature_features(
     )
 
     flags = {"__lag_ok": max(lags), "__roll_ok": max(windows) - 1}
-    needed_flags = [*[past("__lag_ok", k) for k in lags], *last_values("__roll_ok", max(windows))]
+    needed_flags = [
+        *[past("__lag_ok", k) for k in lags], *[past("__roll_ok", k) for k in range(max(windows))],
+    ]
     survives = reduce(lambda a, b: a & F.coalesce(b, F.lit(False)), needed_flags, F.col("__row_ok"))
 
     # narrow pass: survivors, their statistics, and what each block has to borrow; each table
