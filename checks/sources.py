@@ -14,6 +14,7 @@ from daygrain.plans.ingest import ingest_responses
 from daygrain.series import Series
 from daygrain.session import shared_path
 from daygrain.sources import responses as R
+from daygrain.streaming.landing import ingest_new_responses, raw_table
 from daygrain.sources import tables as S
 
 K = ", ".join(KEYS)
@@ -131,6 +132,21 @@ def c1(spark, sf):
     return shown(ingest_responses(landed(spark, sf), PANEL_SERIES, ["T2M", "TS", "EVLAND"]))
 
 
+@check(
+    "c1_ingest_landing_folder",
+    with_panel(f"SELECT {cols([*KEYS, 'date:d', 'T2M:f', 'TS:f', 'EVLAND:f'])} FROM wide", long=LONG_SQL, latest=LATEST_SQL, wide=PIVOT_SQL),
+)
+def c1_landing(spark, sf):
+    """Two daily runs: the files of batch 1 land first, those of batch 2 later."""
+    landing, rows, checkpoint = (shared_path(spark, n) for n in ("landing", "rows", "ingest"))
+    responses = landed(spark, sf)
+    for number in (1, 2):
+        responses.where(F.col("batch") == number).write.mode("append").parquet(landing)
+        run = ingest_new_responses(spark, landing, rows, checkpoint, KEYS)
+        run.awaitTermination()
+    return shown(raw_table(spark, rows, PANEL_SERIES, ["T2M", "TS", "EVLAND"]))
+
+
 @check(
     "j1_align_parameters",
     with_panel(f"SELECT {cols([*KEYS, 'date:d', 't2m:f', 'ts:f', 'evland:f'])} FROM panel"),

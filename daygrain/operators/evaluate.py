@@ -18,22 +18,9 @@ def _error() -> Column:
     return F.col("actual") - F.col("forecast")
 
 
-def rmse() -> Column:
-    return F.sqrt(F.avg(_error() * _error()))
-
-
-def mae() -> Column:
-    return F.avg(F.abs(_error()))
-
-
-def r2() -> Column:
-    spread = F.count("actual") * F.var_pop("actual")
-    return F.lit(1.0) - F.when(spread != 0, F.sum(_error() * _error()) / spread)
-
-
-def mape(eps: float = 0.0) -> Column:
-    """Mean absolute percentage error; ``eps`` is added to the divisor."""
-    return F.avg(F.abs(float_divide(_error(), F.col("actual") + F.lit(eps)))) * 100
+def percentage_error(eps: float = 0.0) -> Column:
+    """Absolute error relative to the actual value; ``eps`` is added to the divisor."""
+    return F.abs(float_divide(_error(), F.col("actual") + F.lit(eps)))
 
 
 def scored(rows: DataFrame) -> DataFrame:
@@ -42,20 +29,32 @@ def scored(rows: DataFrame) -> DataFrame:
 
 
 def horizon_metrics(rows: DataFrame, by: Sequence[str] = ("model",), eps: float = 0.0) -> DataFrame:
-    """RMSE, MAE, R2 and MAPE per model and horizon: one aggregation, combined before the shuffle."""
+    """RMSE, MAE, R2 and MAPE (percent) per model and horizon: one aggregation, combined before the shuffle."""
+    error = _error()
+    spread = F.count("actual") * F.var_pop("actual")
     return scored(rows).groupBy(*by, "horizon_day").agg(
-        F.count(F.lit(1)).alias("n"), rmse().alias("rmse"), mae().alias("mae"), r2().alias("r2"),
-        mape(eps).alias("mape"),
+        F.count(F.lit(1)).alias("n"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        F.avg(F.abs(error)).alias("mae"),
+        (F.lit(1.0) - F.when(spread != 0, F.sum(error * error) / spread)).alias("r2"),
+        (F.avg(percentage_error(eps)) * 100).alias("mape"),
     )
 
 
 def overall_metrics(rows: DataFrame, by: Sequence[str] = ("model",), eps: float = 0.0) -> DataFrame:
-    """RMSE, MAE and MAPE over all errors; R2 is the plain mean over the horizons."""
-    pooled = scored(rows).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), rmse().alias("rmse"), mae().alias("mae"), mape(eps).alias("mape")
+    """RMSE, MAE and MAPE over all errors; R2 is the plain mean over the horizons.
+
+    Pooled from the metrics per horizon, weighted by their number of rows: the rows are read once.
+    """
+    n = F.col("n")
+    total = F.sum("n")
+    return horizon_metrics(rows, by, eps).groupBy(*by).agg(
+        total.alias("n"),
+        F.sqrt(F.sum(n * F.col("rmse") * F.col("rmse")) / total).alias("rmse"),
+        (F.sum(n * F.col("mae")) / total).alias("mae"),
+        (F.sum(n * F.col("mape")) / total).alias("mape"),
+        F.avg("r2").alias("r2"),
     )
-    mean_r2 = horizon_metrics(rows, by).groupBy(*by).agg(F.avg("r2").alias("r2"))
-    return lookup(pooled, mean_r2, by)
 
 
 def within_tolerance(

@@ -79,9 +79,16 @@ def upsert_into(spark: SparkSession, table: str, new: DataFrame, keys: Sequence[
     _replace_months(spark, table, upsert(_months(spark, table, new), new, keys))
 
 
-def backfill_in(spark: SparkSession, table: str, truth: DataFrame, series: Series, value: str) -> None:
-    """Write new actual values into the stored table; only origin months with a change are rewritten."""
-    store = read_store(spark, table)
+def backfill_in(
+    spark: SparkSession, table: str, truth: DataFrame, series: Series, value: str, since: str | None = None
+) -> None:
+    """Write new actual values into the stored table; only origin months with a change are rewritten.
+
+    ``since`` (a date) leaves older forecasts alone: their months are not even read.
+    """
+    store = spark.table(table)
+    if since is not None:
+        store = store.where((F.col(MONTH) >= since[:7]) & (F.col("date") >= F.lit(since).cast("date")))
     known = truth_for(truth, store, series, value)
     stale = lookup(store, known, [*series.keys, "target_date"], "inner").where(
         ~F.col("actual").eqNullSafe(F.col("__actual"))
