@@ -171,19 +171,26 @@ def with_row_index(df: DataFrame, series: Series, index: str = "row_idx", total:
     """Dense 0-based position of each row in its series and the length of the series.
 
     Block counts are aggregated with partial combine; their running sum is a window over one
-    row per block.  Rows are then numbered inside their block and shifted.
+    row per block.  That one row then travels to its block as a header ahead of the data, so
+    numbering takes a single shuffle of the data and no join, however many blocks there are.
     """
     by_block = Window.partitionBy(*series.keys).orderBy(BLOCK)
     whole = Window.partitionBy(*series.keys)
     homed = with_block(df, series)
-    counts = homed.groupBy(*series.keys, BLOCK).agg(F.count(F.lit(1)).alias("__n")).select(
+    headers = homed.groupBy(*series.keys, BLOCK).agg(F.count(F.lit(1)).alias("__n")).select(
         *series.keys, BLOCK,
         F.coalesce(F.sum("__n").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
-        F.sum("__n").over(whole).alias(total),
+        F.sum("__n").over(whole).alias("__total"),
     )
-    numbered = lookup(homed, counts, [*series.keys, BLOCK])
-    position = F.row_number().over(block_window(series)) - 1 + F.col("__offset")
-    return numbered.select(*df.columns, position.cast("bigint").alias(index), total)
+    both = homed.unionByName(headers, allowMissingColumns=True)
+    group = Window.partitionBy(*series.keys, BLOCK)
+    place = F.row_number().over(group.orderBy(F.col("__offset").asc_nulls_last(), *series.order()))
+    numbered = both.select(
+        *df.columns, "__offset",
+        (place - 2 + F.max("__offset").over(group)).cast("bigint").alias(index),
+        F.max("__total").over(group).alias(total),
+    )
+    return numbered.where(F.col("__offset").isNull()).drop("__offset")
 
 
 def add_series_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
