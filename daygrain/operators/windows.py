@@ -10,7 +10,7 @@ A rolling window of n rows is null until all its n rows hold a value.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,19 +31,22 @@ def past_name(column: str, k: int) -> str:
     return f"__past{k}_{column}"
 
 
-def past(column: str, k: int) -> Column:
-    """The value k rows earlier; needs :func:`past_block`."""
-    return F.col(past_name(column, k) if k else column)
+Naming = Callable[[str, int], str]
 
 
-def past_block(depth: Mapping[str, int], w: WindowSpec) -> list[Column]:
+def past(column: str, k: int, named: Naming = past_name) -> Column:
+    """The value k rows earlier; needs :func:`past_block` with the same naming."""
+    return F.col(named(column, k) if k else column)
+
+
+def past_block(depth: Mapping[str, int], w: WindowSpec, named: Naming = past_name) -> list[Column]:
     """Hidden lag columns 1..depth of each named column."""
-    return [F.lag(c, k).over(w).alias(past_name(c, k)) for c, d in depth.items() for k in range(1, d + 1)]
+    return [F.lag(c, k).over(w).alias(named(c, k)) for c, d in depth.items() for k in range(1, d + 1)]
 
 
-def last_values(column: str, rows: int) -> list[str]:
+def last_values(column: str, rows: int, named: Naming = past_name) -> list[str]:
     """SQL names of the value and its lags, newest first."""
-    return [f"`{past_name(column, k) if k else column}`" for k in range(rows)]
+    return [f"`{named(column, k) if k else column}`" for k in range(rows)]
 
 
 def over_recent(
@@ -120,10 +123,10 @@ def rolling_quantile(column: str, rows: int, p: float) -> Column:
     return quantile_of(last_values(column, rows), p)
 
 
-def rolling_block(columns: Sequence[str], windows: Sequence[int]) -> list[Column]:
+def rolling_block(columns: Sequence[str], windows: Sequence[int], named: Naming = past_name) -> list[Column]:
     out = []
     for c in columns:
-        by_size = _mean_and_std(last_values(c, max(windows)), windows)
+        by_size = _mean_and_std(last_values(c, max(windows), named), windows)
         for n in windows:
             mean, std = by_size[n]
             out += [mean.alias(f"{c}_roll{n}_mean"), std.alias(f"{c}_roll{n}_std")]

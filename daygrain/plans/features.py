@@ -22,8 +22,8 @@ from daygrain.operators.blocks import (
 )
 from daygrain.operators.stats import exact_quantiles
 from daygrain.operators.windows import (
-    acceleration, difference, lag_block, over_recent, past, past_block, rolling_block, volatility,
-    week_statistics,
+    Naming, acceleration, difference, lag_block, over_recent, past, past_block,
+    past_name, rolling_block, volatility, week_statistics,
 )
 from daygrain.series import Series
 from daygrain.session import written
@@ -49,12 +49,14 @@ def _all_known(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
 
 
-def _first_stage(lagged: Sequence[str], rolled: Sequence[str], lags: Sequence[int], windows: Sequence[int]) -> list[Column]:
+def _first_stage(
+    lagged: Sequence[str], rolled: Sequence[str], lags: Sequence[int], windows: Sequence[int], named: Naming = past_name
+) -> list[Column]:
     seasonal = seasonal_encodings(F.col("month"), F.col("dayofyear"))
     return [
         *[c.alias(name) for name, c in seasonal.items()],
-        *[past(c, k).alias(f"{c}_lag{k}") for c in lagged for k in lags],
-        *rolling_block(rolled, windows),
+        *[past(c, k, named).alias(f"{c}_lag{k}") for c in lagged for k in lags],
+        *rolling_block(rolled, windows, named),
     ]
 
 
@@ -83,11 +85,16 @@ def rain_features(
 SECOND_STAGE_DEPTH = {"t2m": SECOND_STAGE_ROWS, "t10m": 2, "ts": 2, "tsurf": 2}
 
 
-def _derived() -> list[Column]:
+def raw_name(column: str, k: int) -> str:
+    """Lags over all rows, beside the lags over surviving rows that :func:`past_name` names."""
+    return f"__raw{k}_{column}"
+
+
+def _derived() -> dict[str, Column]:
     """Second-stage columns from base columns, their last values and the attached statistics."""
-    t2m, month = F.col("t2m"), F.col("month")
+    t2m = F.col("t2m")
     month_mean = F.col("__month_mean")
-    named: dict[str, Column] = {
+    return {
         "t2m_volatility_3d": volatility("t2m", 3),
         "t2m_volatility_7d": volatility("t2m", 7),
         "t2m_daily_change": difference("t2m"),
@@ -106,11 +113,6 @@ def _derived() -> list[Column]:
         **temperature_gradients(),
         **weather_interactions(),
     }
-    return [
-        *[c.alias(name) for name, c in named.items()],
-        *week_statistics("t2m"),
-        *[c.alias(name) for name, c in frequency_encodings(month, F.col("dayofyear")).items()],
-    ]
 
 
 def temperature_features(
@@ -147,7 +149,7 @@ def temperature_features(
 
     flags = {"__lag_ok": max(lags), "__roll_ok": max(windows) - 1}
     needed_flags = [
-        *[past("__lag_ok", k) for k in lags], *[past("__roll_ok", k) for k in range(max(windows))],
+        *[past("__lag_ok", k, raw_name) for k in lags], *[past("__roll_ok", k, raw_name) for k in range(max(windows))],
     ]
     survives = reduce(lambda a, b: a & F.coalesce(b, F.lit(False)), needed_flags, F.col("__row_ok"))
 
@@ -161,7 +163,7 @@ def temperature_features(
     survivors = written(
         only_home(
             spread(narrow, series, as_targets([first_bounds], narrow, series)).select(
-                "*", *past_block(flags, w),
+                "*", *past_block(flags, w, raw_name),
                 F.lag(time, reach).over(w).alias("__reach"), F.lag(HOME, reach).over(w).alias("__reach_block"),
             ).where(survives)
         ).select(*keys, time, "month", "t2m", "__reach", "__reach_block"),
@@ -178,22 +180,27 @@ def temperature_features(
     targets = as_targets([first_bounds, second_bounds], narrow, series)
     per_block = written(lookup(per_block, targets, [*keys, BLOCK]), "per_block")
 
-    # wide pass
+    # wide pass: all windows work on base columns and lags; the other columns are projected last,
+    # for the rows of the block itself only
     own_month = F.col("__monthly")[F.col("month")]
     wide = spread(rows, series, per_block, ["__monthly", "__p05", "__p95"]).select(
         "*", own_month["mean"].alias("__month_mean"), own_month["std"].alias("__month_std")
     ).drop("__monthly")
-    stats = ["__month_mean", "__month_std", "__p05", "__p95"]
-    depth = {**_depth(lagged, rolled, lags, windows), **flags}
+    kept = wide.select("*", *past_block({**_depth(lagged, rolled, lags, windows), **flags}, w, raw_name)).where(survives)
+    derived = _derived()
+    early = [derived[c].alias(c) for c in DERIVED]
+    windowed = kept.select("*", *past_block(SECOND_STAGE_DEPTH, w)).select("*", *early)
+    finished = only_home(windowed.select("*", *lag_block(DERIVED, DERIVED_LAGS, w)))
     visible = [c for c in rows.columns if not c.startswith("__")]
-    first = _first_stage(lagged, rolled, lags, windows)
-    stage_one = wide.select("*", *past_block(depth, w)).where(survives).select(*visible, *stats, HOME, BLOCK, *first)
-    visible = [c for c in stage_one.columns if not c.startswith("__")]
-    stage_two = stage_one.select("*", *past_block(SECOND_STAGE_DEPTH, w)).select(*visible, HOME, BLOCK, *_derived())
-    stage_three = stage_two.select("*", *lag_block(DERIVED, DERIVED_LAGS, w))
-    finished = only_home(stage_three)
-    added = [c for c in finished.columns if c not in visible]
-    return finished.na.drop(subset=added)
+    first = _first_stage(lagged, rolled, lags, windows, raw_name)
+    second = [
+        *[F.col(name) if name in DERIVED else c.alias(name) for name, c in derived.items()],
+        *week_statistics("t2m"),
+        *[c.alias(name) for name, c in frequency_encodings(F.col("month"), F.col("dayofyear")).items()],
+        *[F.col(f"{c}_lag{k}") for c in DERIVED for k in DERIVED_LAGS],
+    ]
+    table = finished.select(*visible, *first, *second)
+    return table.na.drop(subset=table.columns[len(visible) + len(first):])
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = ("date", "day", "week", "weekday")) -> list[str]:
