@@ -160,10 +160,10 @@ TOL = "SELECT model, horizon_day, tolerance, avg(CASE WHEN abs(actual - forecast
     "m16_within_tolerance",
     with_panel(
         f"""SELECT model, horizon_day, {cols(['tolerance:f', 'share:f'])} FROM tol UNION ALL
-        SELECT model, NULL, {r('tolerance')}, {r('avg(share)')} FROM tol GROUP BY model, tolerance""", ("t2m", "ts"), **METRICS, tol=TOL),
+        SELECT model, 0, {r('tolerance')}, {r('avg(share)')} FROM tol GROUP BY model, tolerance""", ("t2m", "ts"), **METRICS, tol=TOL),
 )
 def m16(spark, sf):
-    return shown(ev.within_tolerance(judged(spark, sf)))
+    return shown(ev.within_tolerance(judged(spark, sf)).na.fill(0, ["horizon_day"]))
 
 
 @check(

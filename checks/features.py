@@ -7,7 +7,6 @@ from daygrain import constants as K
 from daygrain.operators.cleaning import sum_column
 from daygrain.operators.windows import add_targets
 from daygrain.plans.features import rain_features, temperature_features
-from pyspark.sql import functions as F
 from daygrain.functions.calendar import calendar_columns
 
 ALL = tuple(MEASURES)

@@ -6,12 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks.common import KEYS, PANEL_SERIES, check, cols, daily_panel, panel_sql, shown, table, with_panel
+from checks.common import KEYS, PANEL_SERIES, check, cols, daily_panel, shown, table, with_panel
 from daygrain.operators.merging import fill_actuals
 from daygrain.operators.predictions import persistence
 from daygrain.operators.store import backfill, backfill_in, create_store, read_store, upsert, upsert_into
 from daygrain.plans.ingest import ingest_responses
-from daygrain.series import Series
 from daygrain.session import shared_path
 from daygrain.sources import responses as R
 from daygrain.streaming.landing import ingest_new_responses, raw_table

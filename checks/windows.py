@@ -9,7 +9,7 @@ from daygrain.operators import sequences as seq
 from daygrain.operators import windows as W
 from daygrain.operators.stats import exact_quantiles, with_group_stats
 from daygrain.operators.blocks import attach
-from daygrain.functions.numeric import flag, temperature_gradients, weather_interactions
+from daygrain.functions.numeric import flag
 from daygrain.series import Series
 
 K = ", ".join(KEYS)
