@@ -272,12 +272,19 @@ def m6(spark, sf):
     )
 
 
-@check("m7_m9_saved_models_score")
+# what a trained model predicts has no SQL twin; which rows get a prediction has
+@check(
+    "m7_m9_saved_models_score",
+    with_panel(
+        f"""SELECT {K}, strftime(date, '%Y-%m-%d') AS date, 1 AS has_d1, 1 AS has_d2 FROM idx
+        WHERE i < n - 7 AND i >= CAST(floor((n - 7) * CAST(0.9 AS DOUBLE)) AS BIGINT)""", ("t2m",), idx=INDEXED),
+)
 def m7(spark, sf):
     train, _, test = parts(modelling_table(spark, sf))
     path = shared_path(spark, "models")
     M.save_models(M.fit_horizons(train, BASE, TARGETS[:2], small_forest), path)
-    return M.score(test, M.load_models(spark, path, TARGETS[:2]), BASE, [*KEYS, "date"])
+    scores = M.score(test, M.load_models(spark, path, TARGETS[:2]), BASE, [*KEYS, "date"])
+    return shown(scores.select(*KEYS, "date", *[F.col(t).between(1, 50).alias(f"has_d{h}") for h, t in enumerate(TARGETS[:2], start=1)]))
 
 
 @check("c6_train_and_evaluate")
@@ -288,11 +295,23 @@ def c6(spark, sf):
     return ev.horizon_metrics(rows)
 
 
-@check("c7_forecast_and_store")
+@check(
+    "c7_forecast_and_store",
+    with_panel(
+        f"""SELECT {K}, strftime(last, '%Y-%m-%d') AS date, strftime(last + CAST(h AS INTEGER), '%Y-%m-%d') AS target_date,
+        CAST(h AS INTEGER) AS horizon_day, model, 1 AS has_forecast, 0 AS has_actual
+        FROM (SELECT {K}, max(date) AS last FROM panel GROUP BY {K}), range(1, 8) g(h),
+        (VALUES ('randomforest'), ('xgboost'), ('ensemble')) m(model)""", ("t2m",)),
+)
 def c7(spark, sf):
     truth = daily_panel(spark, sf, BASE)
     panel = add_targets(truth, PANEL_SERIES, {"t2m": "t2m"})
-    fitted, used, _ = fc.train_and_evaluate(panel, PANEL_SERIES, BASE, TARGETS, {"randomforest": small_forest, "xgboost": other_boost})
+    makers = {"randomforest": small_forest, "xgboost": other_boost}
+    fitted, used, _ = fc.train_and_evaluate(panel, PANEL_SERIES, BASE, TARGETS, makers)
     name = unique("forecasts")
-    fc.save_forecast(spark, fc.forecast_latest(truth, PANEL_SERIES, used, fitted), truth, PANEL_SERIES, "t2m", name, shared_path(spark, name))
-    return read_store(spark, name)
+    rows = fc.forecast_latest(truth, PANEL_SERIES, used, fitted)
+    fc.save_forecast(spark, rows, truth, PANEL_SERIES, "t2m", name, shared_path(spark, name))
+    return shown(read_store(spark, name).select(
+        *KEYS, "date", "target_date", "horizon_day", "model", F.col("forecast").between(1, 50).alias("has_forecast"),
+        F.col("actual").isNotNull().alias("has_actual"),
+    ))
