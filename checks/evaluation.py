@@ -19,7 +19,7 @@ from daygrain.operators.stats import correlations
 from daygrain.operators.store import read_store
 from daygrain.operators.windows import add_targets, target_names
 from daygrain.plans import forecasting as fc
-from daygrain.session import cut_lineage, shared_path
+from daygrain.session import shared_path, written
 
 K = ", ".join(KEYS)
 DAYS = range(1, 8)
@@ -232,7 +232,7 @@ other_boost = partial(M.boosted_trees, maxIter=4, maxDepth=2, stepSize=0.5, subs
 def modelling_table(spark, sf):
     """Lags and targets of the panel, written once because every fit reads it."""
     panel = add_targets(daily_panel(spark, sf, BASE), PANEL_SERIES, {"t2m": "t2m"})
-    return cut_lineage(panel.na.drop())
+    return written(panel.na.drop(), "modelling")
 
 
 def parts(table):

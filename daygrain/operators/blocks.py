@@ -8,7 +8,7 @@ shuffle, so only a handful of rows per block move.  The result equals the plain
 
 Rows without a time belong to no position in a series; they are kept, as a group of their own.
 The input is read twice (once for two columns only), so an expensive input should be written
-first, or passed through ``cut_lineage``.
+first (``session.written``).
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ from daygrain.operators.splits import chronological_split
 from daygrain.operators.store import backfill_in, create_store, upsert_into
 from daygrain.operators.windows import latest_row
 from daygrain.series import Series
-from daygrain.session import cut_lineage
+from daygrain.session import written
 from daygrain.sources.tables import require_columns
 
 
@@ -26,11 +26,12 @@ def train_and_evaluate(
     """Chronological split, optional top-k features by importance, one model set per maker.
 
     Returns the models, the features used, and the forecast rows of the test part (with the
-    ensemble of all makers) ready for the metrics.  The table is written once to the shared
-    folder, because every fit reads it.
+    ensemble of all makers) ready for the metrics.  The table and the scores are written once to
+    the shared folder: every fit reads the one, every metric the other.
     """
     needed = dict.fromkeys([*series.keys, series.time, *series.tie, *features, *targets])
-    table = cut_lineage(chronological_split(features_table.select(*needed).na.drop(), series, validation_ratio=None))
+    complete = features_table.select(*needed).na.drop()
+    table = written(chronological_split(complete, series, validation_ratio=None), "modelling")
     train, test = table.where("part = 'train'"), table.where("part = 'test'")
     chosen = list(features)
     if top_k is not None:
@@ -43,6 +44,7 @@ def train_and_evaluate(
     for name, per_target in fitted.items():
         scored = models.score_long(test, per_target, chosen, name, list(series.keys), series.time)
         rows = scored if rows is None else rows.unionByName(scored)
+    rows = written(rows, "scores")
     if len(fitted) > 1:
         rows = with_ensemble(rows, series, list(fitted))
     return fitted, chosen, rows
@@ -72,7 +74,7 @@ def forecast_latest(
     """Forecast rows of every model and the ensemble from the newest row of each series."""
     require_columns(features_table, features)
     needed = dict.fromkeys([*series.keys, series.time, *series.tie, *features])
-    newest = latest_row(features_table.select(*needed), series)
+    newest = written(latest_row(features_table.select(*needed), series), "newest")
     rows = None
     for name, per_target in fitted.items():
         scored = models.score_long(newest, per_target, features, name, list(series.keys), series.time)
@@ -90,5 +92,5 @@ def save_forecast(
     """Fill known actual values, upsert the rows into the store, then back-fill older rows."""
     create_store(spark, table, series.keys, path)
     new = fill_actuals(forecasts.withColumn("actual", F.lit(None).cast("double")), truth, series, value)
-    upsert_into(spark, table, new, [*series.keys, "date", "target_date", "model"])
+    upsert_into(spark, table, written(new, "forecasts"), [*series.keys, "date", "target_date", "model"])
     backfill_in(spark, table, truth, series, value)
