@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 import verify
+from checks import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
