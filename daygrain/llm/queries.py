@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daygrain.llm import minhash
+from daygrain.llm import decontaminate, minhash, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +32,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("op1_near_duplicates")
 def op1(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=4, percent=80)
+
+
+def vocabulary(name: str) -> str:
+    """Where the installed public tokenizers keep a vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_best_fit_packing")
+def op2(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096)
+
+
+@query("op5_benchmark_decontamination")
+def op5(spark, sf):
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
