@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, minhash, packing
+from daygrain.llm import decontaminate, minhash, packing, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,8 @@ def op5(spark, sf):
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
     )
+
+
+@query("op7_suffix_dedup")
+def op7(spark, sf):
+    return repeats.repeats(table(spark, sf, "documents"), length=400).drop("spans")
