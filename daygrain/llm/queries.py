@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, minhash, packing, repeats, vectors
+from daygrain.llm import decontaminate, lattice, minhash, packing, repeats, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,8 @@ def op5(spark, sf):
 @query("op7_suffix_dedup")
 def op7(spark, sf):
     return repeats.repeats(table(spark, sf, "documents"), length=400).drop("spans")
+
+
+@query("op10_lattice_likelihood")
+def op10(spark, sf):
+    return lattice.document_scores(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
