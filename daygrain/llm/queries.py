@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, lattice, minhash, packing, repeats, vectors
+from daygrain.llm import decontaminate, language, lattice, minhash, packing, repeats, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op2(spark, sf):
     return packing.pack(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096)
 
 
+@query("op3_language_id")
+def op3(spark, sf):
+    return language.languages(table(spark, sf, "documents"))
+
+
 @query("op4_vector_near_duplicates")
 def op4(spark, sf):
     return vectors.near_vectors(table(spark, sf, "embeddings"), cosine=0.98)
