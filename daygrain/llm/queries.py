@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, language, lattice, minhash, packing, repeats, vectors
+from daygrain.llm import decontaminate, language, lattice, minhash, packing, repeats, secrets, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,47 @@ def op7(spark, sf):
 @query("op10_lattice_likelihood")
 def op10(spark, sf):
     return lattice.document_scores(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def _found_sql(no: int, pattern: str) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {no} AS no, m, g, generate_subscripts(m, 1) AS i FROM (
+      SELECT doc_id, regexp_extract_all(t, '{quoted}') AS m, regexp_split_to_array(t, '{quoted}') AS g FROM d)"""
+
+
+_KEEP_SQL = {
+    "assign": "length(regexp_extract(m, '{p}', 2)) >= 8", "access": "length(m) >= 16", "hex": "true",
+    "ident": "length(regexp_extract(m, '{p}', 2)) >= 3",
+    "key": "regexp_full_match(m, '[A-Za-z0-9+/]{{40}}') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')",
+    "endpoint": "true",
+}
+_NEAR = f"r.doc_id = l.doc_id AND r.s <= l.e + {secrets.SCOPE} AND l.s <= r.e + {secrets.SCOPE}"
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(_found_sql(i, k.pattern) for i, k in enumerate(secrets.KINDS))}),
+each AS (SELECT doc_id, no, m[i] AS m, i, length(g[i]) + length(m[i]) AS step FROM raw),
+placed AS (SELECT doc_id, no, m, CAST(sum(step) OVER (PARTITION BY doc_id, no ORDER BY i) AS BIGINT) AS e FROM each),
+found AS (SELECT doc_id, no, e - length(m) AS s, e FROM placed WHERE CASE no {" ".join(
+    f"WHEN {i} THEN " + _KEEP_SQL[k.name].format(p=k.pattern.replace("'", "''")) for i, k in enumerate(secrets.KINDS))} END),
+base AS (SELECT * FROM found WHERE no < 3),
+weak AS (SELECT * FROM found l WHERE no >= 3 AND NOT EXISTS (
+  SELECT 1 FROM base r WHERE r.doc_id = l.doc_id AND r.s <= l.e AND l.s <= r.e)),
+listed AS (
+  SELECT * FROM base
+  UNION ALL SELECT * FROM weak l WHERE no = 3 AND EXISTS (SELECT 1 FROM found r WHERE r.no IN (0, 2, 4) AND {_NEAR})
+  UNION ALL SELECT * FROM weak l WHERE no = 4 AND EXISTS (SELECT 1 FROM found r WHERE r.no IN (1, 3) AND {_NEAR})
+  UNION ALL SELECT * FROM weak l WHERE no = 5 AND EXISTS (SELECT 1 FROM found r WHERE r.no IN (0, 2, 4) AND {_NEAR})
+    AND EXISTS (SELECT 1 FROM found r WHERE r.no IN (1, 3) AND {_NEAR})),
+named AS (SELECT doc_id, no, s, (['assign', 'access', 'hex', 'ident', 'key', 'endpoint'])[no + 1] || ':' || s || ':' || e AS x FROM listed),
+sums AS (SELECT doc_id, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) AS n_access, count(*) FILTER (no = 2) AS n_hex,
+  coalesce(string_agg(x, ',' ORDER BY s, no) FILTER (no < 3), '') AS base, string_agg(x, ',' ORDER BY s, no) AS spans
+  FROM named GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+
+@query("op9_credential_linking", OP9_SQL)
+def op9(spark, sf):
+    return secrets.digest(secrets.report(table(spark, sf, "documents")))
