@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import decontaminate, language, lattice, minhash, packing, repeats, secrets, vectors
+import corpus_pipeline
+from daygrain.llm import decontaminate, language, lattice, licenses, minhash, packing, repeats, secrets, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +117,70 @@ FROM d LEFT JOIN sums USING (doc_id)
 @query("op9_credential_linking", OP9_SQL)
 def op9(spark, sf):
     return secrets.digest(secrets.report(table(spark, sf, "documents")))
+
+
+LAG, SPAN = 500, 4096
+_CANONICAL = r"""
+  regexp_replace(regexp_replace(lower(regexp_extract(place, '^([^/]*)', 1)), '^[^@]*@|:(80|443)$', '', 'g'), '^www\.', '')
+  || regexp_replace(regexp_extract(place, '^[^/]*(.*)$', 1), '/+$', '')
+  || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END"""
+OP6_SQL = rf"""
+WITH bare AS (SELECT page_id, md5(coalesce(html, '')) AS tag, strlen(coalesce(html, '')) AS size,
+  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages),
+parts AS (SELECT *, regexp_extract(u, '^([^?]*)', 1) AS place,
+  list_sort([p FOR p IN string_split(regexp_extract(u, '[?](.*)$', 1), '&')
+    IF p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|fbclid|gclid)(=|$)')]) AS kept FROM bare),
+named AS (SELECT page_id, tag, size, {_CANONICAL} AS canonical_url FROM parts),
+asked AS (SELECT *, page_id + {LAG} AS asked_at FROM named),
+met AS (SELECT a.page_id, a.canonical_url, a.asked_at, a.tag, r.page_id AS response_at, r.tag AS response_tag, r.size
+  FROM asked a ASOF LEFT JOIN named r ON a.canonical_url = r.canonical_url AND a.asked_at >= r.page_id)
+SELECT 'b' || page_id AS record_id, canonical_url, asked_at AS "at", 'a' || response_at AS response_id, response_at,
+  CASE WHEN response_at IS NULL THEN 'missing' WHEN tag = response_tag THEN 'resolved' ELSE 'changed' END AS state,
+  CASE WHEN tag = response_tag THEN 'content-length=' || size || ';date=day ' || (asked_at // 100) || ';etag=W/"' || tag || '"' END AS headers
+FROM met
+"""
+
+
+@query("op6_revisit_resolution", OP6_SQL)
+def op6(spark, sf):
+    found = warc.resolved(warc.second_crawl(table(spark, sf, "pages"), LAG), SPAN)
+    listed = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.withColumn("headers", F.array_join(listed, ";"))
+
+
+def _license_sql() -> str:
+    made = licenses.compiled()
+    known = ", ".join(f"('{s}', {i + 1})" for i, s in enumerate(made.sentences))
+
+    def ids(text: str) -> str:
+        return f"""(SELECT coalesce(list(k.id ORDER BY x.i), []) FROM (
+          SELECT unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM (
+            SELECT string_split(regexp_replace({text}, '([.;:!?])[\x20\t]+', '\1' || chr(10), 'g'), chr(10)) AS ss)) x
+          JOIN known k ON k.s = trim(regexp_replace(lower(x.s), '[^a-z0-9]+', ' ', 'g')))"""
+
+    def names(column: str) -> str:
+        out = f"array_to_string([('<' || i || '>') FOR i IN {column}], '')"
+        for name, sequence in made.rules:
+            out = f"replace({out}, '{''.join(f'<{i}>' for i in sequence)}', '[{name}]')"
+        return rf"regexp_extract_all({out}, '\[([^\]]+)\]', 1)"
+
+    return f"""
+WITH known(s, id) AS (VALUES {known}),
+d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\n\r]+', ' ', 'g') AS u FROM documents),
+read AS (SELECT doc_id, {ids('t')} AS a, {ids('u')} AS b FROM d)
+SELECT doc_id, array_to_string(CASE WHEN len(b) > len(a) THEN b ELSE a END, ',') AS sentences,
+  array_to_string(list_sort(list_distinct(list_concat({names('a')}, {names('b')}))), ',') AS licenses
+FROM read
+"""
+
+
+@query("op8_license_rules", _license_sql())
+def op8(spark, sf):
+    found = licenses.licenses(table(spark, sf, "documents"))
+    joined = F.array_join(F.transform("sentences", lambda i: i.cast("string")), ",")
+    return found.select("doc_id", joined.alias("sentences"), F.array_join("licenses", ",").alias("licenses"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
