@@ -18,8 +18,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     """
     whole = links.where("a <> b")  # leaves out nulls as well
     edges = written(whole.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    mark = _mark(edges)
-    while mark[0]:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -30,13 +29,14 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         ).distinct()
         edges = written(edges, name)
-        last, mark = mark, _mark(edges)
-        if last == mark:
-            break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return roots.unionByName(edges.select(F.col("u").alias("node"), F.col("v").alias("component")))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node that has none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()

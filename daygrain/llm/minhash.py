@@ -16,7 +16,7 @@ from daygrain.session import written
 REGISTERS = 128
 BAND = 4  # registers of 16 bits: the key of a band is one 64-bit number and needs no hash
 MANTISSA = 10
-BLOCK = 512
+BLOCK = 1024
 
 _ORDER = np.stack([np.random.default_rng(7000 + j).permutation(REGISTERS) for j in range(REGISTERS)])
 
@@ -184,51 +184,110 @@ def _confirmed(percent: int):
     return run
 
 
-def _block_pairs(threshold: float):
-    """Rows sorted by (bucket, ci, cj): pairs of different labels in a block that the sketches leave possible."""
-
-    def one(rows):
-        rep, label, n = (np.array(rows[c]) for c in ("rep", "label", "n"))
-        chunk = np.array(rows["chunk"])
-        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(len(rep), REGISTERS)
-        ci, cj, pivot = rows["ci"][0], rows["cj"][0], rows["pivot"][0]
-        left = np.flatnonzero(chunk == ci)
-        right = np.flatnonzero(chunk == cj)
-        found = []
-        for i in left:
-            if rep[i] == pivot:
-                continue
-            j = right[(label[right] != label[i]) & (rep[right] != pivot) & ((rep[right] > rep[i]) | (ci != cj))]
-            if len(j):
-                j = j[likely(sketch[i][None, :], sketch[j], np.full(len(j), n[i]), n[j], threshold)]
-                found += [(min(rep[i], x), max(rep[i], x)) for x in rep[j]]
-        return found
+def _blocks(use):
+    """Call ``use`` for each run of rows, sorted by (pivot, ci, cj), that makes a block."""
 
     def run(batches):
-        key, rows = None, None
-        columns = ["rep", "label", "n", "sketch", "chunk", "ci", "cj", "pivot"]
-
-        def out(found):
-            a, b = zip(*found) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
+        held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
-            found = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ["band", "key", *columns])):
-                at = (row[0], row[1], row[7], row[8])
-                if at != key:
-                    if rows:
-                        found += one(rows)
-                    key, rows = at, {c: [] for c in columns}
-                for c, v in zip(columns, row[2:]):
-                    rows[c].append(v)
-            yield out(found)
-        if rows:
-            yield out(one(rows))
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy() for c in ("pivot", "ci", "cj")], axis=1)
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            edges = [0, *cuts.tolist(), len(key)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                now = tuple(key[a])
+                if held and now != last:
+                    yield from use(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = now
+        if held:
+            yield from use(pa.Table.from_batches(held).combine_chunks())
 
     return run
 
 
+def _plausible(block: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of a block, of different labels, that the sketches leave possible."""
+    column = lambda c: block.column(c).combine_chunks()
+    rep, label, n, chunk = (block.column(c).to_numpy() for c in ("rep", "label", "n", "chunk"))
+    sketch = _matrix(column("sketch"), REGISTERS, np.uint16)
+    ci, cj, pivot = (block.column(c)[0].as_py() for c in ("ci", "cj", "pivot"))
+    right = np.flatnonzero((chunk == cj) & (rep != pivot))
+    firsts, seconds = [], []
+    for i in np.flatnonzero((chunk == ci) & (rep != pivot)).tolist():
+        j = right[(label[right] != label[i]) & ((rep[right] > rep[i]) | (ci != cj))]
+        j = j[(n[j] >= threshold * n[i] - 1e-9) & (n[i] >= threshold * n[j] - 1e-9)]
+        if len(j):
+            j = j[likely(sketch[i][None, :], sketch[j], np.full(len(j), n[i]), n[j], threshold)]
+            firsts.append(np.full(len(j), i)), seconds.append(j)
+    none = np.zeros(0, np.int64)
+    return np.concatenate(firsts) if firsts else none, np.concatenate(seconds) if seconds else none
+
+
+def _active(threshold: float):
+    """The rows of each block that have a plausible partner."""
+
+    def use(block: pa.Table):
+        if block.num_rows > 1:
+            i, j = _plausible(block, threshold)
+            if len(i):
+                rows = pa.array(np.unique(np.concatenate([i, j])))
+                yield from block.take(rows).drop_columns(["sketch"]).to_batches()
+
+    return _blocks(use)
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections; shingles of one set only are left out, the others go by slices."""
+    whole = np.concatenate(sets)
+    names, at, counts = np.unique(whole, return_inverse=True, return_counts=True)
+    new = np.cumsum(counts > 1) - 1
+    keep = (counts > 1)[at]
+    row, column = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[keep], new[at[keep]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column)
+    row, column = row[order], column[order]
+    for start in range(0, int((counts > 1).sum()), 8192):
+        a, b = np.searchsorted(column, [start, start + 8192])
+        part = np.zeros((len(sets), 8192), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def _forest(threshold: float, percent: int):
+    """A spanning forest of each block's confirmed links."""
+
+    def use(block: pa.Table):
+        i, j = _plausible(block, threshold)
+        if not len(i):
+            return
+        rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        i, j = at[:len(i)], at[len(i):]
+        rep, n = (block.column(c).to_numpy()[rows] for c in ("rep", "n"))
+        bodies = block.column("body").take(pa.array(rows)).combine_chunks()
+        both = intersections([np.frombuffer(x.as_buffer(), np.uint64) for x in bodies])[i, j]
+        good = 100 * both >= percent * (n[i] + n[j] - both)
+        i, j = i[good], j[good]
+        root = np.arange(len(rows))
+        while len(i):
+            low = root.copy()
+            np.minimum.at(low, i, root[j])
+            np.minimum.at(low, j, root[i])
+            low = low[low]
+            if (low == root).all():
+                break
+            root = low
+        child = np.flatnonzero(root != np.arange(len(root)))
+        if len(child):
+            yield pa.RecordBatch.from_arrays([pa.array(rep[root[child]]), pa.array(rep[child])], ["a", "b"])
+
+    return _blocks(use)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents whose sets of ``k``-word shingles have ``100 * both >= percent * either``.
 
@@ -240,8 +299,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     2.  32 bands of four compressed registers propose candidates.  A pair of similarity 0.8 shares no band with
         probability (1 - 0.8^4)^32 = 5e-8.
     3.  Within a bucket all classes are compared with its smallest, and the components of the confirmed links
-        computed.  Then buckets that still hold several components are cut into blocks, and blocks compared with
-        blocks: only pairs of different components whose corrected estimate leaves the threshold possible come out.
+        computed.  Then the classes that met one smallest class and still are several components are cut into blocks,
+        and blocks compared with blocks: first by corrected estimates, then, for rows with a possible partner, on the
+        full sets.  A block returns a spanning forest of its links, never its pairs.
     4.  Every link is confirmed on the full sets.
 
     No bucket is dropped or cut.  Defined results: a null, empty or blank text has the empty set and is linked with
@@ -261,40 +321,48 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     buckets = banded.groupBy("band", "key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     members = written(banded.join(buckets, ["band", "key"]), "buckets")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        sketch = lambda side: classes.select(F.col("rep").alias(side), F.col("sketch").alias(f"sketch_{side}"), F.col("n").alias(f"n_{side}"))
-        likely_pairs = written(
-            pairs.distinct().join(sketch("a"), "a").join(sketch("b"), "b").mapInArrow(_estimates(threshold), "a long, b long"),
-            name,
-        )
-        wanted = likely_pairs.select(F.col("a").alias("doc_id")).union(likely_pairs.select("b")).distinct()
-        # a doc_id that repeats with other texts has several sets: the class tells which one is meant
+    class_names = classes.select("rep", "n", "name")
+
+    def bodies_of(reps: DataFrame, name: str) -> DataFrame:
+        """The full sets of the given classes, made again from the texts."""
+        wanted = reps.distinct().withColumnRenamed("rep", "doc_id")
         texts = narrow.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "rep long, n long, name binary, body binary")
+        # a doc_id that repeats with other texts has several sets: the class tells which one is meant
         bodies = texts.join(class_names, ["rep", "n", "name"], "left_semi").groupBy("rep").agg(F.min("body").alias("body"))
-        bodies = written(bodies, f"{name}-sets")
-        side = lambda c: bodies.select(F.col("rep").alias(c), F.col("body").alias(f"body_{c}"))
-        both = likely_pairs.join(side("b"), "b").join(side("a"), "a")
-        return written(both.mapInArrow(_confirmed(percent), "a long, b long"), f"{name}-links")
-
-    class_names = classes.select("rep", "n", "name")
-    links = confirmed(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")), "pairs")
+        return written(bodies, name)
+
+    sketch = lambda side: classes.select(F.col("rep").alias(side), F.col("sketch").alias(f"sketch_{side}"), F.col("n").alias(f"n_{side}"))
+    pairs = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = pairs.join(sketch("b"), "b").join(sketch("a"), "a").mapInArrow(_estimates(threshold), "a long, b long")
+    pairs = written(pairs, "pairs")
+    bodies = bodies_of(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), "sets")
+    side = lambda c: bodies.select(F.col("rep").alias(c), F.col("body").alias(f"body_{c}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    links = written(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
     labels = written(components(links), "labels")
 
-    labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "label", F.coalesce("component", "rep")
-    ).drop("component")
-    open_buckets = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    chunks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = (
-        labelled.where("members > 2").join(open_buckets.select("band", "key"), ["band", "key"], "left_semi")
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        .select("band", "key", "pivot", "rep", "label", "chunk", F.least("chunk", "other").alias("ci"), F.greatest("chunk", "other").alias("cj"))
-        .join(classes.select("rep", "n", "sketch"), "rep")
-        .repartition("band", "key", "ci", "cj").sortWithinPartitions("band", "key", "ci", "cj")
-        .select("band", "key", "rep", "label", "n", "sketch", "chunk", "ci", "cj", "pivot")
+    # the classes that met one pivot, in whatever bucket, once
+    labelled = members.select("pivot", "rep").distinct().join(
+        labels.withColumnRenamed("node", "rep"), "rep", "left"
+    ).withColumn("label", F.coalesce("component", "rep")).drop("component")
+    open_groups = labelled.groupBy("pivot").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
+    ).where("low < high AND size > 2").select("pivot", F.ceil(F.col("size") / BLOCK).cast("int").alias("chunks"))
+    facts = classes.select("rep", "n", "sketch")
+    blocks = (
+        labelled.join(open_groups, "pivot").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("ci", F.least("chunk", "other")).withColumn("cj", F.greatest("chunk", "other"))
+        .join(facts, "rep").select("pivot", "ci", "cj", "rep", "label", "n", "chunk", "sketch")
     )
-    more = confirmed(rest.mapInArrow(_block_pairs(threshold), "a long, b long"), "more-pairs")
+
+    def sorted_blocks(rows: DataFrame) -> DataFrame:
+        return rows.repartition("pivot", "ci", "cj").sortWithinPartitions("pivot", "ci", "cj")
+
+    columns = "pivot long, ci int, cj int, rep long, label long, n long, chunk int"
+    active = written(sorted_blocks(blocks).mapInArrow(_active(threshold), columns), "active")
+    full = active.join(bodies_of(active.select("rep"), "active-sets"), "rep").join(classes.select("rep", "sketch"), "rep")
+    more = written(sorted_blocks(full).mapInArrow(_forest(threshold, percent), "a long, b long"), "more-links")
     final = components(links.unionByName(more))
 
     named = classes.select("n", "name", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
