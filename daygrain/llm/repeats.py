@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.llm.bitmap import maybe_in
 from daygrain.llm.text import flat, mixed, pieces
 from daygrain.session import written
 
-FILTER_BITS = 1 << 20
 SPLIT = 7  # an interval of window places is cut into so many parts
 
 _R = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
@@ -277,20 +277,6 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _maybe(keys: DataFrame, *columns: str):
-    """A condition that holds for every key of ``keys`` and few others: a bitmap of fixed size over hashed keys.
-
-    It only spares rows a shuffle before the exact join; a bitmap that fills up spares none.
-    """
-    bit = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
-    bits = np.zeros(FILTER_BITS, np.uint8)
-    found = keys.select(bit.cast("int").alias("bit")).distinct().toArrow().column("bit").to_numpy()
-    bits[found] = 1
-    packed = F.lit(np.packbits(bits, bitorder="little").tobytes())
-    byte = F.conv(F.hex(F.substring(packed, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.floor(byte / F.pow(F.lit(2.0), F.pmod(bit, F.lit(8)))).cast("int") % 2 == 1
-
-
 def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     """The bytes of each document (doc_id, text) that lie in a string of ``length`` bytes which starts elsewhere, too.
 
@@ -332,7 +318,7 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         F.collect_list(F.struct("at", "first", "last")).alias("places")
     )
     wanted = written(places.join(units, "unit"), "repeat-wanted")
-    near = rows.where(_maybe(wanted.select("unit", F.col("keeper").alias("doc_id")), "unit", "doc_id"))
+    near = rows.where(maybe_in(wanted.select("unit", F.col("keeper").alias("doc_id")), "unit", "doc_id"))
     joined = near.alias("r").join(wanted.alias("w"), F.expr("r.unit = w.unit AND r.doc_id <=> w.keeper")).select("r.unit", "r.text", "w.places")
     contexts = written(
         joined.mapInArrow(_contexts(length), "unit binary, at long, first int, last int, left int, context binary"), "repeat-contexts"
@@ -359,7 +345,7 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     schema = "doc_id {}, n_bytes long, n_removed long, spans array<long>, n_spans long, kept_sha256 string".format(
         docs.schema["doc_id"].dataType.simpleString()
     )
-    touched = rows.where(_maybe(runs, "unit")).join(runs, "unit").select("doc_id", "text", size, "runs").mapInArrow(_rebuilt(), schema)
+    touched = rows.where(maybe_in(runs, "unit")).join(runs, "unit").select("doc_id", "text", size, "runs").mapInArrow(_rebuilt(), schema)
     whole = rows.select("doc_id", "unit", size).join(copied, "unit", "left_semi").select(
         "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.array(F.lit(0).cast("long"), F.col("n_bytes")).alias("spans"),
         F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"),

@@ -44,6 +44,14 @@ BASE = ("assign", "access", "hex")
 SCOPE = 200  # code points between the parts of one credential
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Names a document by its id and text, so null and repeated ids do no harm."""
     return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))))
@@ -147,7 +155,7 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> Dat
     runs = begun.withColumn("run", F.sum("new").over(Window.partitionBy("row").orderBy("start", "end")))
     runs = runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     runs = runs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
-    key, cuts = "__row", "__cuts"
+    key, cuts = free_name(docs, "row"), free_name(docs, "cuts")
     joined = docs.withColumn(key, row_key()).join(runs.select(F.col("row").alias(key), F.col("cuts").alias(cuts)), key, "left")
     between = F.expr(
         f"transform({cuts}, (c, i) -> substring(text, int(if(i = 0, 0, element_at({cuts}, i).end)) + 1, "
