@@ -41,62 +41,82 @@ def block_window(series: Series) -> WindowSpec:
     return Window.partitionBy(*series.keys, BLOCK).orderBy(*series.order())
 
 
-def _edges(df: DataFrame, series: Series, rows: int, last: bool, reach: str, source: Column) -> DataFrame:
-    """The last (or first) ``rows`` rows of each block as an array sorted by time."""
+def _edges(df: DataFrame, series: Series, rows: int, last: bool, entry: Column) -> DataFrame:
+    """The last (or first) ``rows`` rows of each block as an array of entries sorted by time."""
     time = F.col(series.time)
     ranked = Window.partitionBy(*series.keys, BLOCK).orderBy(time.desc() if last else time.asc())
-    entry = F.struct(time.alias("at"), F.col("__reach").alias("reach"), F.col("__source").alias("source"))
     return (
         with_block(df, series)
         .where(time.isNotNull())
-        .select(*series.keys, BLOCK, series.time, F.col(reach).alias("__reach"), source.alias("__source"))
+        .select(*series.keys, BLOCK, series.time, entry.alias("__entry"))
         .withColumn("__rank", F.row_number().over(ranked))
         .where(F.col("__rank") <= rows)
         .groupBy(*series.keys, BLOCK)
-        .agg(F.sort_array(F.collect_list(entry)).alias("edge"))
+        .agg(F.sort_array(F.collect_list("__entry")).alias("edge"))
     )
 
 
-def rows_before(
-    df: DataFrame, series: Series, rows: int, reach: str | None = None, reach_block: str | None = None
-) -> DataFrame:
+def _neighbours(edges: DataFrame, series: Series, rows: int, before: bool) -> DataFrame:
+    """(keys, target, need): for each block the nearest ``rows`` entries of the blocks before (or after) it.
+
+    Blocks are laid on a line by the running number of their entries, so a range frame of ``rows`` takes just the
+    blocks that hold a needed entry: never more than ``rows`` entries and one block's surplus, however long the series.
+    """
+    along = Window.partitionBy(*series.keys).orderBy(F.col(BLOCK).asc() if before else F.col(BLOCK).desc())
+    through = F.sum(F.size("edge")).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    placed = edges.select(*series.keys, BLOCK, "edge", through.alias("__through"))
+    nothing = F.lit(None).cast(edges.schema["edge"].dataType)
+    roles = F.array(
+        F.struct(F.col("__through").alias("place"), F.col("edge").alias("edge"), F.lit(None).cast("bigint").alias("target")),
+        F.struct(
+            (F.col("__through") - F.size("edge")).alias("place"), nothing.alias("edge"), F.col(BLOCK).cast("bigint").alias("target")
+        ),
+    )
+    line = placed.select(*series.keys, F.explode(roles).alias("r")).select(*series.keys, "r.*")
+    near = Window.partitionBy(*series.keys).orderBy("place").rangeBetween(-(rows - 1), 0)
+    gathered = line.select(*series.keys, "target", F.sort_array(F.flatten(F.collect_list("edge").over(near))).alias("all"))
+    wanted = gathered.where(F.col("target").isNotNull() & (F.size("all") > 0))
+    start = F.greatest(F.size("all") - rows, F.lit(0)) + 1 if before else F.lit(1)
+    return wanted.select(*series.keys, "target", F.slice("all", start, F.lit(rows)).alias("need"))
+
+
+def _entry(series: Series) -> Column:
+    return F.struct(F.col(series.time).alias("at"), F.col(BLOCK).alias("source"))
+
+
+def rows_before(df: DataFrame, series: Series, rows: int) -> DataFrame:
     """For every block that needs them, where its last ``rows`` preceding rows lie.
 
     One row per (series, source block, target block) with the lower time bound ``lo`` to copy.
-    Every non-empty block holds at least one row, so ``rows`` preceding blocks are enough.
-    By default a needed row needs only itself.  ``reach`` and ``reach_block`` name columns with
-    an earlier time (and its block) from which on everything must be copied along with the row.
     """
-    source = F.col(reach_block) if reach_block else F.col(BLOCK)
-    edges = _edges(df, series, rows, True, reach or series.time, source)
-    frame = Window.partitionBy(*series.keys).orderBy(BLOCK).rowsBetween(-rows, -1)
-    before = F.flatten(F.collect_list("edge").over(frame))
-    needed = (
-        edges.select(*series.keys, F.col(BLOCK).alias("target"), before.alias("before"))
-        .where(F.size("before") > 0)
-        .select(
-            *series.keys, "target",
-            F.slice("before", F.greatest(F.size("before") - rows, F.lit(0)) + 1, rows).alias("need"),
-        )
-    )
-    if reach_block:
-        blocks = F.sequence(F.array_min(F.col("need.source")), F.col("target") - 1)
-    else:
-        blocks = F.array_distinct(F.col("need.source"))
+    needed = _neighbours(_edges(df, series, rows, True, _entry(series)), series, rows, True)
     return needed.select(
-        *series.keys, "target", F.array_min(F.col("need.reach")).alias("lo"), F.explode(blocks).alias(BLOCK)
+        *series.keys, "target", F.array_min(F.col("need.at")).alias("lo"),
+        F.explode(F.array_distinct(F.col("need.source"))).alias(BLOCK),
+    )
+
+
+def runs_before(df: DataFrame, series: Series, rows: int, reach: str, sources: str) -> DataFrame:
+    """As :func:`rows_before`, where each of the ``rows`` rows is needed with a run of rows of its own.
+
+    The column ``reach`` holds the time at which a row's run begins, ``sources`` the blocks the run lies in.  One row
+    per (series, source block, target block, needed row) with the bounds ``lo`` and ``hi`` of the run, ``hi`` being the
+    needed row's time: what lies between two runs, such as an outage, is not copied.
+    """
+    entry = F.struct(F.col(series.time).alias("at"), F.col(reach).alias("reach"), F.col(sources).alias("sources"))
+    needed = _neighbours(_edges(df, series, rows, True, entry), series, rows, True)
+    runs = needed.select(*series.keys, "target", F.explode("need").alias("run"))
+    return runs.select(
+        *series.keys, "target", F.col("run.reach").alias("lo"), F.col("run.at").alias("hi"), F.explode("run.sources").alias(BLOCK)
     )
 
 
 def rows_after(df: DataFrame, series: Series, rows: int) -> DataFrame:
     """As :func:`rows_before` for the ``rows`` rows that follow a block, with an upper bound ``hi``."""
-    edges = _edges(df, series, rows, False, series.time, F.col(BLOCK))
-    frame = Window.partitionBy(*series.keys).orderBy(BLOCK).rowsBetween(1, rows)
-    after = F.flatten(F.collect_list("edge").over(frame))
-    needed = edges.select(*series.keys, F.col(BLOCK).alias("target"), F.slice(after, 1, rows).alias("need"))
-    blocks = F.array_distinct(F.col("need.source"))
+    needed = _neighbours(_edges(df, series, rows, False, _entry(series)), series, rows, False)
     return needed.select(
-        *series.keys, "target", F.array_max(F.col("need.at")).alias("hi"), F.explode(blocks).alias(BLOCK)
+        *series.keys, "target", F.array_max(F.col("need.at")).alias("hi"),
+        F.explode(F.array_distinct(F.col("need.source"))).alias(BLOCK),
     )
 
 

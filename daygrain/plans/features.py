@@ -17,7 +17,7 @@ from daygrain.functions.numeric import (
     cooling_degrees, flag, heating_degrees, nan_to_null, temperature_gradients, weather_interactions,
 )
 from daygrain.operators.blocks import (
-    BLOCK, HOME, add_series_stats, as_targets, block_window, lookup, only_home, rows_before, spread,
+    BLOCK, HOME, add_series_stats, as_targets, block_window, lookup, only_home, rows_before, runs_before, spread,
     with_block,
 )
 from daygrain.operators.stats import exact_quantiles
@@ -164,12 +164,13 @@ def temperature_features(
         only_home(
             spread(narrow, series, as_targets([first_bounds], narrow, series)).select(
                 "*", *past_block(flags, w, raw_name),
-                F.lag(time, reach).over(w).alias("__reach"), F.lag(HOME, reach).over(w).alias("__reach_block"),
+                F.lag(time, reach).over(w).alias("__reach"),
+                F.array_sort(F.collect_set(HOME).over(w.rowsBetween(-reach, 0))).alias("__sources"),
             ).where(survives)
-        ).select(*keys, time, "month", "t2m", "__reach", "__reach_block"),
+        ).select(*keys, time, "month", "t2m", "__reach", "__sources"),
         "survivors",
     )
-    second_bounds = rows_before(survivors, series, SECOND_STAGE_ROWS, "__reach", "__reach_block")
+    second_bounds = runs_before(survivors, series, SECOND_STAGE_ROWS, "__reach", "__sources")
     fitted = survivors if fit_until is None else survivors.where(F.col(time) <= F.lit(fit_until).cast("date"))
     monthly = fitted.groupBy(*keys, "month").agg(
         F.struct(F.avg("t2m").alias("mean"), F.stddev_samp("t2m").alias("std")).alias("s")
@@ -183,10 +184,15 @@ def temperature_features(
     # wide pass: all windows work on base columns and lags; the other columns are projected last,
     # for the rows of the block itself only
     own_month = F.col("__monthly")[F.col("month")]
-    wide = spread(rows, series, per_block, ["__monthly", "__p05", "__p95"]).select(
-        "*", own_month["mean"].alias("__month_mean"), own_month["std"].alias("__month_std")
-    ).drop("__monthly")
-    kept = wide.select("*", *past_block({**_depth(lagged, rolled, lags, windows), **flags}, w, raw_name)).where(survives)
+    # of the rows a block borrows, those its second stage looks back to; the others serve the lags of these
+    wanted = F.exists("targets", lambda t: (t["target"] == F.col(BLOCK)) & (t["hi"] == F.col(time)))
+    own = F.col(HOME).eqNullSafe(F.col(BLOCK))
+    wide = spread(rows, series, per_block, ["__monthly", "__p05", "__p95", "targets"]).select(
+        "*", own_month["mean"].alias("__month_mean"), own_month["std"].alias("__month_std"),
+        (own | F.coalesce(wanted, F.lit(False))).alias("__wanted"),
+    ).drop("__monthly", "targets")
+    lagging = wide.select("*", *past_block({**_depth(lagged, rolled, lags, windows), **flags}, w, raw_name))
+    kept = lagging.where(survives & F.col("__wanted"))
     derived = _derived()
     early = [derived[c].alias(c) for c in DERIVED]
     windowed = kept.select("*", *past_block(SECOND_STAGE_DEPTH, w)).select("*", *early)
