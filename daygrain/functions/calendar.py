@@ -16,14 +16,6 @@ def utc_day(ts: Column | str) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
 
 
-def iso_week(day: Column | str) -> Column:
-    return F.weekofyear(day)
-
-
-def weekday_from_monday(day: Column | str) -> Column:
-    return F.weekday(day)
-
-
 def season_name(month: Column) -> Column:
     return F.when(month.isin(12, 1, 2), "winter").when(month.isin(3, 4, 5), "summer").otherwise("rainy")
 
@@ -39,8 +31,8 @@ def calendar_columns(day: Column | str) -> dict[str, Column]:
         "year": F.year(day),
         "month": month,
         "day": F.dayofmonth(day),
-        "week": iso_week(day),
-        "weekday": weekday_from_monday(day),
+        "week": F.weekofyear(day),
+        "weekday": F.weekday(day),
         "season_num": season_number(month),
     }
 

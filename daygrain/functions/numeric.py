@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daygrain.constants import COMFORT, SENTINELS
 
@@ -26,6 +27,13 @@ def nan_to_null(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
+def nan_free(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with NaN as null in its (listed) floating columns; other columns are left alone."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    chosen = floating if columns is None else [c for c in floating if c in set(columns)]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in chosen}) if chosen else df
+
+
 def is_missing(value: Column, floating: bool) -> Column:
     return value.isNull() | F.isnan(value) if floating else value.isNull()
 
@@ -57,10 +65,6 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("int"), F.lit(0))
 
 
-def first_present(columns: Sequence[Column]) -> Column:
-    return F.coalesce(*columns)
-
-
 def temperature_gradients() -> dict[str, Column]:
     c = F.col
     return {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daygrain.constants import SENTINELS
-from daygrain.functions.numeric import any_sentinel, is_missing, is_sentinel
+from daygrain.functions.numeric import any_sentinel, is_missing, is_sentinel, nan_free
 from daygrain.operators.blocks import attach
 from daygrain.series import Series
 from daygrain.sources.tables import require_columns
@@ -60,16 +60,16 @@ def columns_with_nulls(df: DataFrame, max_null_fraction: float = 0.0) -> list[st
     return [c for c in df.columns if counted[c] > max_null_fraction * counted["__rows"]]
 
 
-def drop_null_columns(df: DataFrame, max_null_fraction: float = 0.0) -> DataFrame:
-    """Drop columns with any missing value (or more than the given share).  Runs one job."""
-    return df.drop(*columns_with_nulls(df, max_null_fraction))
+def drop_null_columns(df: DataFrame, max_null_fraction: float = 0.0, keep: Sequence[str] = ()) -> DataFrame:
+    """Drop columns with any missing value (or more than the given share), but for those to ``keep``.  Runs one job."""
+    return df.drop(*[c for c in columns_with_nulls(df, max_null_fraction) if c not in set(keep)])
 
 
-def drop_latest_times(df: DataFrame, series: Series, n: int = 3) -> DataFrame:
-    """Remove the rows whose time is among the ``n`` largest, ties counted, of their series.
+def latest_cutoff(df: DataFrame, series: Series, n: int = 3) -> DataFrame:
+    """Per series, the time ``__cutoff`` from which on the latest ``n`` rows lie.
 
-    The cutoff comes from distinct times and their counts: the latest ``n`` rows lie within the
-    latest ``n`` distinct times, so one date repeated many times costs one row, not many.
+    It comes from distinct times and their counts: the latest ``n`` rows lie within the latest ``n`` distinct times,
+    so one date repeated many times costs one row, not many.
     """
     latest = Window.partitionBy(*series.keys).orderBy(F.col(series.time).desc())
     times = df.where(F.col(series.time).isNotNull()).groupBy(*series.keys, series.time)
@@ -79,15 +79,22 @@ def drop_latest_times(df: DataFrame, series: Series, n: int = 3) -> DataFrame:
         .where(F.col("__at") <= n)
     )
     newer = F.coalesce(F.sum("__n").over(latest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cutoff = (
+    return (
         ranked.withColumn("__newer", newer)
         .where(F.col("__newer") < n)
         .groupBy(*series.keys)
         .agg(F.min(series.time).alias("__cutoff"))
     )
-    kept = attach(df, cutoff, series)
-    time = F.col(series.time)
-    return kept.where(time.isNull() | F.col("__cutoff").isNull() | (time < F.col("__cutoff"))).drop("__cutoff")
+
+
+def before_cutoff(time: str) -> Column:
+    """Whether a row that carries its series' cutoff stays; rows without a time do."""
+    return F.col(time).isNull() | F.col("__cutoff").isNull() | (F.col(time) < F.col("__cutoff"))
+
+
+def drop_latest_times(df: DataFrame, series: Series, n: int = 3) -> DataFrame:
+    """Remove the rows whose time is among the ``n`` largest, ties counted, of their series."""
+    return attach(df, latest_cutoff(df, series, n), series).where(before_cutoff(series.time)).drop("__cutoff")
 
 
 def rows_with_sentinel(df: DataFrame, columns: Sequence[str], sentinels: Sequence[float] = SENTINELS) -> DataFrame:
@@ -103,16 +110,25 @@ def sentinels_to_mean(
     """
     if not columns:
         return df
-    means = df.groupBy(*series.keys).agg(
-        *[F.avg(F.when(~is_sentinel(F.col(c), sentinels), F.col(c))).alias(f"__mean_{c}") for c in columns]
-    )
-    filled = attach(df, means, series)
+    df = nan_free(df, columns)
+    means = df.groupBy(*series.keys).agg(*usual_means(columns, sentinels))
+    return attach(df, means, series).select(*filled(df.columns, columns, sentinels))
+
+
+def usual_means(columns: Sequence[str], sentinels: Sequence[float], where: Column | None = None) -> list[Column]:
+    """Aggregates ``__mean_*``: the means of values that are no sentinels, of the rows ``where`` holds."""
+    usable = lambda c: ~is_sentinel(F.col(c), sentinels) if where is None else where & ~is_sentinel(F.col(c), sentinels)
+    return [F.avg(F.when(usable(c), F.col(c))).alias(f"__mean_{c}") for c in columns]
+
+
+def filled(all_columns: Sequence[str], columns: Sequence[str], sentinels: Sequence[float]) -> list[Column]:
+    """All columns, the listed ones with their ``__mean_*`` in place of sentinels."""
     chosen = set(columns)
-    return filled.select(*[
+    return [
         F.when(is_sentinel(F.col(c), sentinels), F.col(f"__mean_{c}")).otherwise(F.col(c).cast("double")).alias(c)
         if c in chosen else F.col(c)
-        for c in df.columns
-    ])
+        for c in all_columns
+    ]
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

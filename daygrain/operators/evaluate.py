@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.constants import TOLERANCES
-from daygrain.functions.numeric import float_divide
+from daygrain.functions.numeric import float_divide, nan_free
 from daygrain.operators.blocks import lookup
 from daygrain.operators.merging import one_truth
 from daygrain.series import Series
@@ -25,6 +25,7 @@ def percentage_error(eps: float = 0.0) -> Column:
 
 def scored(rows: DataFrame) -> DataFrame:
     """Rows that have both a forecast and an actual value."""
+    rows = nan_free(rows, ["forecast", "actual"])
     return rows.where(F.col("forecast").isNotNull() & F.col("actual").isNotNull())
 
 
@@ -98,7 +99,7 @@ def actual_vs_predicted(forecasts: DataFrame, truth: DataFrame, series: Series,
 
 def forecast_summary(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """Range, mean and direction of a 7-day forecast."""
-    ends = rows.groupBy(*by).agg(
+    ends = nan_free(rows, ["forecast"]).groupBy(*by).agg(
         F.min("forecast").alias("min_forecast"),
         F.max("forecast").alias("max_forecast"),
         F.avg("forecast").alias("mean_forecast"),

@@ -12,11 +12,11 @@ from daygrain.series import Series
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str], suffixes: tuple[str, str]) -> DataFrame:
-    """Full outer join; columns present on both sides get the suffixes."""
+    """Full outer join in the order of ``on``; columns present on both sides get the suffixes."""
     shared = [c for c in left.columns if c in right.columns and c not in on]
     a = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     b = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
-    return a.join(b, list(on), "full_outer")
+    return a.join(b, list(on), "full_outer").orderBy(*on)
 
 
 def one_truth(truth: DataFrame, series: Series, value: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.constants import HORIZON
-from daygrain.functions.numeric import first_present
+from daygrain.functions.numeric import nan_free
 from daygrain.series import Series
 
 
@@ -51,17 +51,19 @@ def pick_forecast(rows: DataFrame, candidates: Sequence[str], otherwise: Sequenc
     present = [F.col(c).cast("double") for c in [*candidates, *otherwise] if c in rows.columns]
     if not present:
         raise ValueError(f"none of {[*candidates, *otherwise]} among {rows.columns}")
-    return rows.withColumn("forecast", first_present(present))
+    return rows.withColumn("forecast", F.coalesce(*present))
 
 
 def ensemble_mean(rows: DataFrame, series: Series, models: Sequence[str], name: str = "ensemble") -> DataFrame:
-    """Unweighted mean of the listed models per origin date and horizon, as rows of a new model."""
-    return (
-        rows.where(F.col("model").isin(*models))
-        .groupBy(*series.keys, "date", "target_date", "horizon_day")
-        .agg(F.avg("forecast").alias("forecast"))
-        .withColumn("model", F.lit(name))
+    """Unweighted mean of the listed models per origin date and horizon, as rows of a new model.
+
+    Only where each of them has a forecast: a mean of some is no ensemble of all.
+    """
+    given = nan_free(rows, ["forecast"]).where(F.col("model").isin(*models) & F.col("forecast").isNotNull())
+    means = given.groupBy(*series.keys, "date", "target_date", "horizon_day").agg(
+        F.avg("forecast").alias("forecast"), F.size(F.collect_set("model")).alias("__models")
     )
+    return means.where(F.col("__models") == len(set(models))).drop("__models").withColumn("model", F.lit(name))
 
 
 def persistence(df: DataFrame, series: Series, column: str, horizon: int = HORIZON) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.constants import SENTINELS
-from daygrain.functions.numeric import is_sentinel
+from daygrain.functions.numeric import is_sentinel, nan_free
 from daygrain.operators.cleaning import missing_flag, numeric_columns
 from daygrain.series import Series
 
@@ -52,7 +52,7 @@ def zero_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def value_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     chosen = columns or numeric_columns(df)
     return _per_column(
-        df, chosen,
+        nan_free(df, chosen), chosen,
         {"min": lambda c: F.min(F.col(c).cast("double")), "max": lambda c: F.max(F.col(c).cast("double"))},
     )
 

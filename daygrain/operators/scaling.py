@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.functions.numeric import nan_free
 from daygrain.operators.blocks import attach
 from daygrain.series import Series
 
 
 def fit_min_max(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
     """Minimum and scale per column; a constant column has scale 1 and so maps to 0."""
-    low_high = df.groupBy(*series.keys).agg(
+    low_high = nan_free(df, columns).groupBy(*series.keys).agg(
         *[F.min(c).alias(f"{c}__low") for c in columns],
         *[(F.max(c) - F.min(c)).alias(f"{c}__range") for c in columns],
     )
@@ -26,7 +27,7 @@ def fit_min_max(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFr
 
 def fit_standard(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
     """Mean and population standard deviation per column; a constant column has scale 1."""
-    stats = df.groupBy(*series.keys).agg(
+    stats = nan_free(df, columns).groupBy(*series.keys).agg(
         *[F.avg(c).alias(f"{c}__shift") for c in columns], *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]
     )
     return stats.select(
@@ -37,7 +38,7 @@ def fit_standard(df: DataFrame, series: Series, columns: Sequence[str]) -> DataF
 
 
 def _apply(df: DataFrame, fitted: DataFrame, series: Series, columns: Sequence[str], inverse: bool) -> DataFrame:
-    joined = attach(df, fitted, series)
+    joined = attach(nan_free(df, columns), fitted, series)
 
     def change(c: str) -> Column:
         shift, scale = F.col(f"{c}__shift"), F.col(f"{c}__scale")

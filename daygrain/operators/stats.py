@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daygrain.functions.numeric import nan_free
 from daygrain.operators.blocks import add_series_stats, attach
 from daygrain.series import Series
 
 
 def group_mean(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.avg(c).alias(c) for c in columns])
+    return nan_free(df, columns).groupBy(*by).agg(*[F.avg(c).alias(c) for c in columns])
 
 
 def with_group_stats(df: DataFrame, series: Series, by: Sequence[str], column: str, mean: str, std: str) -> DataFrame:
@@ -24,7 +25,7 @@ def with_group_stats(df: DataFrame, series: Series, by: Sequence[str], column: s
     task per group.
     """
     group = [*series.keys, *by]
-    stats = df.groupBy(*group).agg(F.avg(column).alias(mean), F.stddev_samp(column).alias(std))
+    stats = nan_free(df, [column]).groupBy(*group).agg(F.avg(column).alias(mean), F.stddev_samp(column).alias(std))
     return attach(df, stats, series, group)
 
 
@@ -33,32 +34,47 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) per series, named by ``levels``.
 
-    ``percentile`` keeps every distinct value of a series in one buffer, so it only serves
-    series of up to 10 x accuracy rows.  For longer ones a mergeable sketch first brackets the
-    wanted ranks (its rank error is at most n/accuracy), and only the values inside the brackets
-    are ranked: a small share of the series, and the result is still exact.
+    A mergeable sketch first brackets the wanted ranks (its rank error is at most n/accuracy), and only the values
+    inside the brackets are ranked: a small share of a long series, and the result is exact.  Series of any length take
+    this one path; a bracket without its rank is an error, never a missing row.
     """
-    keys, names, limit = list(series.keys), list(levels), 10 * accuracy
-    slack = 2.0 / accuracy
-    around = [min(max(p + side, 0.0), 1.0) for p in levels.values() for side in (-slack, slack)]
-    values = df.where(F.col(column).isNotNull()).select(*keys, series.time, column)
+    keys = list(series.keys)
+    widths = _bracket_widths(accuracy)
+    around = [min(max(p + side * width, 0.0), 1.0) for p in levels.values() for width in widths for side in (-1, 1)]
+    values = nan_free(df, [column]).where(F.col(column).isNotNull()).select(*keys, series.time, column)
     bounds = values.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.percentile_approx(column, around, accuracy).alias("__around")
     )
-    known = attach(values, bounds, series)
-    short = known.where(F.col("__n") < limit).groupBy(*keys).agg(
-        F.percentile(column, list(levels.values())).alias("q")
-    )
-    exact = short.where(F.col("q").isNotNull()).select(*keys, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
-    return exact.unionByName(_bracketed_quantiles(known.where(F.col("__n") >= limit), keys, column, levels))
+    return _bracketed_quantiles(attach(values, bounds, series), keys, column, levels, widths)
+
 
+def _bracket_widths(accuracy: int) -> list[float]:
+    """Half widths of brackets, as shares of a series: from the sketch's error on, each four times the one before."""
+    widths = [2.0 / accuracy]
+    while widths[-1] < 1:
+        widths.append(widths[-1] * 4)
+    return widths
+
+
+def _bracketed_quantiles(
+    known: DataFrame, keys: Sequence[str], column: str, levels: dict[str, float], widths: Sequence[float]
+) -> DataFrame:
+    """Quantiles of rows that carry the size of their series and value brackets per level.
+
+    The bracket used is the narrowest that holds the sketch's error and two more ranks.
+    """
+
+    def end(level: int, side: int) -> Column:
+        at = lambda k: F.col("__around")[2 * (level * len(widths) + k) + side]
+        chosen = F.when(F.lit(0.5 * widths[0]) + 2 / F.col("__n") <= widths[0], at(0))
+        for k, width in enumerate(widths[1:-1], start=1):
+            chosen = chosen.when(F.lit(0.5 * widths[0]) + 2 / F.col("__n") <= width, at(k))
+        return chosen.otherwise(at(len(widths) - 1))
 
-def _bracketed_quantiles(known: DataFrame, keys: Sequence[str], column: str, levels: dict[str, float]) -> DataFrame:
-    """Quantiles of rows that carry the size of their series and a value bracket per level."""
     brackets = F.array(*[
         F.struct(
             F.lit(name).alias("name"), (F.lit(p) * (F.col("__n") - 1)).alias("pos"),
-            F.col("__around")[2 * i].alias("lo"), F.col("__around")[2 * i + 1].alias("hi"),
+            end(i, 0).alias("lo"), end(i, 1).alias("hi"),
         )
         for i, (name, p) in enumerate(levels.items())
     ])
@@ -77,13 +93,13 @@ def _bracketed_quantiles(known: DataFrame, keys: Sequence[str], column: str, lev
     ends = ranked.groupBy(*keys, "name", "pos").agg(at(F.floor("pos")).alias("low"), at(F.ceil("pos")).alias("high"))
     share = F.col("pos") - F.floor("pos")
     quantile = F.col("low") + (F.col("high") - F.col("low")) * share
-    named = ends.select(*keys, "name", quantile.alias("q"))
-    grouped = named.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in levels])
-    return grouped.where(F.coalesce(*[F.col(n) for n in levels]).isNotNull())
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket: raise the accuracy")).cast("double")
+    named = ends.select(*keys, "name", F.coalesce(quantile, missed).alias("q"))
+    return named.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in levels])
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    return nan_free(df, columns).select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         list(keep), list(columns), name, value
     )
 
@@ -108,7 +124,8 @@ def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
     """Counts per column and equal-width bin; bins are reduced before the shuffle."""
-    packed = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).withColumn("__r", _ranges(df, columns))
+    known = nan_free(df, columns)
+    packed = known.select(*[F.col(c).cast("double").alias(c) for c in columns]).withColumn("__r", _ranges(known, columns))
     entries = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -122,13 +139,14 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
 
 def scatter_pairs(df: DataFrame, x: str, ys: Sequence[str]) -> DataFrame:
     """Points (x, feature, y) for scatter plots."""
-    return unpivot(df.withColumn("__x", F.col(x).cast("double")), ys, ["__x"], "feature", "y").withColumnRenamed("__x", "x")
+    return unpivot(nan_free(df, [x]).withColumn("__x", F.col(x).cast("double")), ys, ["__x"], "feature", "y").withColumnRenamed("__x", "x")
 
 
 def scatter_counts(df: DataFrame, x: str, ys: Sequence[str], bins: int = 50) -> DataFrame:
     """The same points counted on a bins x bins grid, so the output stays small."""
     columns = [x, *ys]
-    packed = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).withColumn("__r", _ranges(df, columns))
+    known = nan_free(df, columns)
+    packed = known.select(*[F.col(c).cast("double").alias(c) for c in columns]).withColumn("__r", _ranges(known, columns))
 
     def binned(c: str) -> Column:
         return _bin(F.col(c), F.col("__r")[c]["lo"], F.col("__r")[c]["hi"], bins)
@@ -140,25 +158,52 @@ def scatter_counts(df: DataFrame, x: str, ys: Sequence[str], bins: int = 50) ->
 
 def correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of each feature with the target, strongest first; null pairs are skipped."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in features])
+    known = nan_free(df, [*features, target])
+    wide = known.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in features])
     entries = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in features]
     long = wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
     return long.select("feature", "r", F.abs("r").alias("abs_r")).orderBy(F.desc_nulls_last("abs_r"), "feature")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form (a, b, r) of the correlation matrix; the upper triangle is computed once."""
+    """Long form (a, b, r) of the correlation matrix; each pair takes the rows that hold both values.
+
+    Each task multiplies its rows as matrices, so a batch of rows serves all pairs at once, and only one row of sums a
+    pair and task is shuffled.  Values are first shifted by a mean of their column, so large offsets cost no digits.  A
+    pair with fewer than two rows or a constant side has no correlation (null).
+    """
     columns = list(columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
-    ])
-    entries = [
-        F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-        for left, right in dict.fromkeys([(a, b), (b, a)])
-    ]
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    values = nan_free(df, columns).select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    shifts = np.array([v or 0.0 for v in values.agg(*[F.avg(c) for c in values.columns]).first()])
+    first, second = np.triu_indices(len(columns))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(columns), len(columns)))
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))], axis=1) - shifts
+            known = (~np.isnan(x)).astype(float)
+            x = np.where(known > 0, x, 0.0)
+            square = x * x
+            for k, (left, right) in enumerate(
+                ((known, known), (x, known), (known, x), (square, known), (known, square), (x, x))
+            ):
+                sums[k] += left.T @ right
+        picked = sums[:, first, second]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(first, pa.int32()), pa.array(second, pa.int32()), *[pa.array(row) for row in picked]],
+            ["i", "j", "n", "x", "y", "xx", "yy", "xy"],
+        )
+
+    names = ("n", "x", "y", "xx", "yy", "xy")
+    parts = values.mapInArrow(products, "i int, j int, " + ", ".join(f"{n} double" for n in names))
+    sums = parts.groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in names])
+    spread_x, spread_y = F.expr("xx - x * x / n"), F.expr("yy - y * y / n")
+    tiny = F.lit(1e-14)
+    varies = (F.col("n") > 1) & (spread_x > tiny * F.col("xx")) & (spread_y > tiny * F.col("yy"))
+    r = F.when(varies, F.expr("xy - x * y / n") / F.sqrt(spread_x * spread_y))
+    listed = F.array(*[F.lit(c) for c in columns])
+    named = sums.select(listed[F.col("i")].alias("a"), listed[F.col("j")].alias("b"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("r"))
+    return named.unionByName(named.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
 
 
 def top_features(scores: DataFrame, score: str, k: int | None = None, above: float | None = None) -> DataFrame:
@@ -184,12 +229,13 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
 
 
 def yearly_mean(df: DataFrame, series: Series, column: str) -> DataFrame:
-    return df.groupBy(*series.keys, F.year(series.time).alias("year")).agg(F.avg(column).alias("mean"))
+    return nan_free(df, [column]).groupBy(*series.keys, F.year(series.time).alias("year")).agg(F.avg(column).alias("mean"))
 
 
 def linear_trend(yearly: DataFrame, series: Series, x: str = "year", y: str = "mean") -> DataFrame:
     """Least-squares line through the yearly means, with the fitted value of each year."""
     keys = list(series.keys)
+    yearly = nan_free(yearly, [x, y])
     fit = yearly.groupBy(*keys).agg(
         F.regr_slope(y, F.col(x).cast("double")).alias("slope"),
         F.regr_intercept(y, F.col(x).cast("double")).alias("intercept"),
@@ -199,27 +245,48 @@ def linear_trend(yearly: DataFrame, series: Series, x: str = "year", y: str = "m
 
 
 def polynomial_trend(yearly: DataFrame, series: Series, degree: int = 10, x: str = "year", y: str = "mean") -> DataFrame:
-    """Polynomial through the yearly means of each series (one row per calendar year).
+    """Least-squares polynomial through the means of each series (one row per period), at each of its points.
 
-    The year is mapped to [-1, 1] first: powers of raw years are too ill-conditioned to solve.
+    The points of a series are one array, and its polynomials are orthogonal on them, each from the two before it
+    (three-term recurrence), so no system of equations is solved.  A polynomial that vanishes on all points, as those of
+    a degree above the number of points do, adds nothing.
     """
     keys = list(series.keys)
-    schema = yearly.select(*keys, x, y, F.lit(0.0).alias("fitted")).schema
-
-    def fit(years: pd.DataFrame) -> pd.DataFrame:
-        known = years.dropna(subset=[x, y])
-        if len(known) == 0:
-            return years.assign(fitted=np.nan)
-        bounded = min(degree, max(len(known) - 1, 0))
-        curve = np.polynomial.Chebyshev.fit(known[x].astype(float), known[y], bounded)
-        return years.assign(fitted=curve(years[x].astype(float).to_numpy()))
-
-    columns = yearly.select(*keys, x, y)
-    return columns.groupBy(*keys).applyInPandas(lambda pdf: fit(pdf)[[*keys, x, y, "fitted"]], schema)
+    rows = nan_free(yearly, [x, y]).select(*keys, x, y)
+    point = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), F.col(x).alias("at"), F.col(y).alias("value"))
+    held = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(point)).alias("p"))
+    known = "filter(p, q -> q.x IS NOT NULL AND q.y IS NOT NULL)"
+    ends = held.selectExpr(*keys, "p", f"array_min(transform({known}, q -> q.x)) AS lo", f"array_max(transform({known}, q -> q.x)) AS hi")
+    state = ends.selectExpr(
+        *keys, "p", "transform(p, q -> if(hi > lo, 2 * (q.x - lo) / (hi - lo) - 1, 0D)) AS t",
+        "transform(p, q -> coalesce(q.y, 0D)) AS v", "transform(p, q -> if(q.x IS NOT NULL AND q.y IS NOT NULL, 1D, 0D)) AS w",
+        "transform(p, q -> 0D) AS before", "transform(p, q -> 1D) AS now", "transform(p, q -> 0D) AS fitted", "0D AS norm_before",
+    )
+    dot = "aggregate(zip_with({}, {}, (a, b) -> coalesce(a * b, 0D)), 0D, (s, a) -> s + a)"
+    for k in range(degree + 1):
+        state = state.selectExpr("*", "zip_with(now, w, (a, b) -> coalesce(a, 0D) * b) AS weighed")
+        state = state.selectExpr("*", f"{dot.format('weighed', 'now')} AS norm", f"{dot.format('weighed', 'v')} AS share")
+        state = state.selectExpr(
+            *keys, "p", "t", "v", "w", "now", "before", "weighed", "norm", "norm_before", "norm > 1e-20 * aggregate(w, 0D, (s, a) -> s + a) AS real",
+            "share", "fitted",
+        )
+        state = state.selectExpr(
+            "*", "if(real, share / norm, 0D) AS c", f"if(real, {dot.format('zip_with(weighed, t, (a, b) -> a * b)', 'now')} / norm, 0D) AS shift",
+            "if(real AND norm_before > 0, norm / norm_before, 0D) AS back",
+        )
+        state = state.selectExpr(
+            *keys, "p", "t", "v", "w", "zip_with(fitted, now, (f, a) -> f + c * a) AS fitted",
+            "if(real, zip_with(zip_with(t, now, (a, b) -> (a - shift) * b), before, (a, b) -> a - back * b), transform(t, a -> 0D)) AS next",
+            "now AS before", "norm AS norm_before",
+        ).withColumnRenamed("next", "now")
+    shown = state.selectExpr(*keys, "explode(zip_with(p, fitted, (q, f) -> struct(q.at AS at, q.value AS value, f AS fitted))) AS r")
+    seen = F.when(F.col("r.at").isNotNull(), F.col("r.fitted"))
+    return shown.select(*keys, F.col("r.at").alias(x), F.col("r.value").alias(y), seen.alias("fitted"))
 
 
 def min_max_normalise(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
     """(x - min) / (max - min) per series; a constant column gives null."""
+    df = nan_free(df, columns)
     stats = df.groupBy(*series.keys).agg(
         *[F.min(c).alias(f"__min_{c}") for c in columns], *[F.max(c).alias(f"__max_{c}") for c in columns]
     )

@@ -22,9 +22,15 @@ MONTH = "origin_month"
 STORE_COLUMNS = ("date", "target_date", "horizon_day", "forecast", "actual", "model")
 
 
-def create_store(spark: SparkSession, table: str, keys: Sequence[str] = (), path: str | None = None) -> None:
-    """Create the forecast table if it does not exist yet, in the warehouse or at a given path."""
-    extra = "".join(f"{k} STRING, " for k in keys)
+def create_store(
+    spark: SparkSession, table: str, keys: Sequence[str] = (), path: str | None = None, like: DataFrame | None = None
+) -> None:
+    """Create the forecast table if it does not exist yet, in the warehouse or at a given path.
+
+    Key columns have the types they have in ``like``; without it they are text.
+    """
+    kind = lambda k: like.schema[k].dataType.simpleString() if like is not None else "STRING"
+    extra = "".join(f"{k} {kind(k)}, " for k in keys)
     place = f" LOCATION '{path}'" if path else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({extra}date DATE, target_date DATE, horizon_day INT, forecast DOUBLE, "
@@ -52,8 +58,8 @@ def backfill(store: DataFrame, truth: DataFrame, series: Series, value: str) ->
 
 def _months(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
     """The stored rows of the origin months that occur in ``rows``; other partitions are not read."""
-    wanted = rows.select(month_of().alias(MONTH)).distinct()
-    return spark.table(table).join(wanted, MONTH, "left_semi").drop(MONTH)
+    wanted = [r[0] for r in rows.select(month_of()).distinct().collect()]  # a row a month; as literals they prune
+    return spark.table(table).where(F.col(MONTH).isin(wanted)).drop(MONTH)
 
 
 def _replace_months(spark: SparkSession, table: str, changed: DataFrame) -> None:
@@ -91,6 +97,6 @@ def backfill_in(
         store = store.where((F.col(MONTH) >= since[:7]) & (F.col("date") >= F.lit(since).cast("date")))
     known = truth_for(truth, store, series, value)
     stale = lookup(store, known, [*series.keys, "target_date"], "inner").where(
-        ~F.col("actual").eqNullSafe(F.col("__actual"))
+        F.col("__actual").isNotNull() & ~F.col("actual").eqNullSafe(F.col("__actual"))
     )
     _replace_months(spark, table, backfill(_months(spark, table, stale), truth, series, value))

@@ -3,7 +3,8 @@
 A rolling statistic over a few rows is arithmetic on the value and its lags.  Lags are the
 cheapest window function (one frame per distance, whatever the number of columns), and the
 arithmetic is compiled with the rest of the projection, so this is several times faster than an
-aggregate over a sliding frame per column.  Windows longer than ``UNROLLED`` rows use frames.
+aggregate over a sliding frame per column.  Of longer windows the last values are one array, on
+which the same arithmetic runs in the same order, so the two forms agree to the last bit.
 
 A rolling window of n rows is null until all its n rows hold a value.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from daygrain.constants import HORIZON, TARGETS
-from daygrain.functions.numeric import float_divide
+from daygrain.functions.numeric import float_divide, nan_free
 from daygrain.operators.blocks import BLOCK, HOME, block_window, halo, only_home, over_series, spread, with_row_index
 from daygrain.series import Series
 
@@ -173,21 +174,31 @@ def week_statistics(column: str, rows: int = 7) -> list[Column]:
 # --- window functions -----------------------------------------------------------------------
 
 
-def framed(column: str, rows: int, w: WindowSpec, aggregate: Column) -> Column:
-    """An aggregate over the last ``rows`` rows as a sliding frame, for long windows."""
-    frame = w.rowsBetween(-(rows - 1), 0)
-    return F.when(F.count(column).over(frame) == rows, aggregate.over(frame))
+def recent_name(column: str, rows: int) -> str:
+    return f"__recent{rows}_{column}"
 
 
-def framed_block(columns: Sequence[str], windows: Sequence[int], w: WindowSpec) -> list[Column]:
+def recent_block(columns: Sequence[str], windows: Sequence[int], w: WindowSpec) -> list[Column]:
+    """Hidden arrays of the last values that are known, newest first, one for each column and window."""
     return [
-        framed(c, n, w, make(c)).alias(f"{c}_roll{n}_{name}")
-        for c in columns
-        for n in windows
-        for name, make in (("mean", F.avg), ("std", F.stddev_samp))
+        F.reverse(F.collect_list(c).over(w.rowsBetween(-(n - 1), 0))).alias(recent_name(c, n)) for c in columns for n in windows
     ]
 
 
+def recent_mean_and_std(column: str, rows: int) -> tuple[Column, Column]:
+    """As :func:`_mean_and_std`, over the array of :func:`recent_block`."""
+    held = f"`{recent_name(column, rows)}`"
+    away = f"transform(slice({held}, 2, {rows - 1}), v -> v - {held}[0])"
+    total = f"aggregate({away}, 0D, (s, d) -> s + d)"
+    squares = f"aggregate({away}, 0D, (s, d) -> s + d * d)"
+    variance = f"({squares} - ({total}) * ({total}) / {rows}D) / {rows - 1}D"
+    whole = f"size({held}) = {rows}"
+    return (
+        F.expr(f"CASE WHEN {whole} THEN {held}[0] + ({total}) / {rows}D END"),
+        F.expr(f"CASE WHEN {whole} THEN sqrt(greatest({variance}, 0D)) END"),
+    )
+
+
 def lag_block(columns: Sequence[str], lags: Sequence[int], w: WindowSpec) -> list[Column]:
     return [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c in columns for k in lags]
 
@@ -208,13 +219,27 @@ def add_lags(df: DataFrame, series: Series, columns: Sequence[str], lags: Sequen
     return over_series(df, series, lambda w: lag_block(columns, lags, w), lookback=max(lags))
 
 
-def add_rolling(df: DataFrame, series: Series, columns: Sequence[str], windows: Sequence[int]) -> DataFrame:
-    """Rolling mean and std of the listed columns that exist."""
+def add_rolling(
+    df: DataFrame, series: Series, columns: Sequence[str], windows: Sequence[int], unrolled: int = UNROLLED
+) -> DataFrame:
+    """Rolling mean and std of the listed columns that exist.
+
+    Each window takes its own form: up to ``unrolled`` rows as arithmetic on lags, above as arithmetic on an array.
+    The results do not depend on it.
+    """
     present = [c for c in columns if c in df.columns]
-    reach = max(windows) - 1
-    if max(windows) > UNROLLED:
-        return over_series(df, series, lambda w: framed_block(present, windows, w), lookback=reach)
-    return over_recent(df, series, {c: reach for c in present}, rolling_block(present, windows))
+    df = nan_free(df, present)
+    short, long = [n for n in windows if n <= unrolled], [n for n in windows if n > unrolled]
+    w = block_window(series)
+    hidden = past_block({c: max(short) - 1 for c in present} if short else {}, w) + recent_block(present, long, w)
+    rows = spread(df, series, halo(df, series, max(windows) - 1)).select("*", *hidden)
+    out = []
+    for c in present:
+        known = _mean_and_std(last_values(c, max(short)), short) if short else {}
+        for n in windows:
+            mean, std = known[n] if n in known else recent_mean_and_std(c, n)
+            out += [mean.alias(f"{c}_roll{n}_mean"), std.alias(f"{c}_roll{n}_std")]
+    return only_home(rows.select(*df.columns, HOME, BLOCK, *out))
 
 
 def add_targets(

@@ -87,10 +87,10 @@ def forecast_latest(
 
 def save_forecast(
     spark: SparkSession, forecasts: DataFrame, truth: DataFrame, series: Series, value: str, table: str,
-    path: str | None = None,
+    path: str | None = None, since: str | None = None,
 ) -> None:
-    """Fill known actual values, upsert the rows into the store, then back-fill older rows."""
-    create_store(spark, table, series.keys, path)
+    """Fill known actual values, upsert the rows into the store, then back-fill older rows (from ``since`` on)."""
+    create_store(spark, table, series.keys, path, forecasts)
     new = fill_actuals(forecasts.withColumn("actual", F.lit(None).cast("double")), truth, series, value)
     upsert_into(spark, table, written(new, "forecasts"), [*series.keys, "date", "target_date", "model"])
-    backfill_in(spark, table, truth, series, value)
+    backfill_in(spark, table, truth, series, value, since)

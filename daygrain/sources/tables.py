@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from daygrain.functions.numeric import nan_free
+
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """NaN, the missing value of array libraries, becomes null."""
+    return nan_free(spark.read.parquet(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header.  Give a schema for anything large: inference reads the file twice."""
     reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
+    return nan_free(reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path))
 
 
 def load_table(
@@ -44,9 +47,14 @@ def require_path(spark: SparkSession, path: str) -> str:
     return path
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition together, so each gets few files; the engine still splits a large one."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Overwrite a Parquet folder; partition by year or series so later reads can prune."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -57,7 +65,7 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """Create or replace a catalog table from a query, in the warehouse or at a given path."""
-    writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
+    writer = _gathered(df, partition_by).write.mode("overwrite").format("parquet").partitionBy(*partition_by)
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 

@@ -36,7 +36,7 @@ def build(w):
     return [
         F.lag("v", 7).over(w).alias("l7"),
         F.lead("v", 5).over(w).alias("f5"),
-        W.framed("v", 4, w, F.max("v")).alias("m4"),
+        F.max("v").over(w.rowsBetween(-3, 0)).alias("m4"),
     ]
 
 
