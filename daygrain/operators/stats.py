@@ -200,9 +200,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     spread_x, spread_y = F.expr("xx - x * x / n"), F.expr("yy - y * y / n")
     tiny = F.lit(1e-14)
     varies = (F.col("n") > 1) & (spread_x > tiny * F.col("xx")) & (spread_y > tiny * F.col("yy"))
-    r = F.when(varies, F.expr("xy - x * y / n") / F.sqrt(spread_x * spread_y))
+    r = F.expr("xy - x * y / n") / F.sqrt(spread_x * spread_y)
+    r = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
     listed = F.array(*[F.lit(c) for c in columns])
-    named = sums.select(listed[F.col("i")].alias("a"), listed[F.col("j")].alias("b"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("r"))
+    named = sums.select(listed[F.col("i")].alias("a"), listed[F.col("j")].alias("b"), r.alias("r"))
     return named.unionByName(named.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
 
 
