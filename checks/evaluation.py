@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.common import KEYS, PANEL_SERIES, check, cols, daily_panel, r, shown, with_panel
@@ -220,7 +221,9 @@ def m8(spark, sf):
     return lists.from_json(lists.to_json(table))
 
 
-# --- trained models (no SQL twin) -----------------------------------------------------------
+# --- trained models -------------------------------------------------------------------------
+# What a model predicts has no SQL twin.  Which rows it is judged on has, and so has what any sound model must show:
+# every feature ranked once, errors ordered, and fewer errors than the forecast that tomorrow is like today.
 
 BASE = ("t2m", "t2m_max", "t2m_min", "ts", "gwettop", "evptrns")
 TARGETS = target_names(["t2m"])
@@ -240,36 +243,64 @@ def parts(table):
     return split.where("part = 'train'"), split.where("part = 'validation'"), split.where("part = 'test'")
 
 
+def judged(rows, test):
+    """Rows a horizon, and whether the model beats persistence there."""
+    naive = ev.horizon_metrics(
+        test.select("t2m", F.explode(F.array(*[
+            F.struct(F.lit(h).alias("horizon_day"), F.col(t).alias("actual")) for h, t in enumerate(TARGETS, start=1)
+        ])).alias("e")).select(F.lit("naive").alias("model"), "e.*", F.col("t2m").alias("forecast"))
+    ).select("horizon_day", F.col("rmse").alias("naive"))
+    metrics = ev.horizon_metrics(rows).join(naive, "horizon_day")
+    return shown(metrics.select("model", "horizon_day", "n", (F.col("rmse") < F.col("naive")).alias("beats_persistence")))
+
+
+def judged_sql(*names):
+    return with_panel(
+        f"""SELECT model, CAST(h AS INTEGER) AS horizon_day, n, 1 AS beats_persistence
+        FROM (SELECT count(*) AS n FROM idx WHERE i < n - 7 AND i >= CAST(floor((n - 7) * CAST(0.9 AS DOUBLE)) AS BIGINT)),
+        range(1, 8) g(h), (VALUES {", ".join(f"('{n}')" for n in names)}) m(model)""", ("t2m",), idx=INDEXED)
+
+
 def scored_with(spark, sf, name, make):
     train, _, test = parts(modelling_table(spark, sf))
     fitted = M.fit_horizons(train, BASE, TARGETS, make)
-    return ev.horizon_metrics(M.score_long(test, fitted, BASE, name, list(KEYS), "date"))
+    return judged(M.score_long(test, fitted, BASE, name, list(KEYS), "date"), test)
 
 
-@check("m3_feature_importance")
+@check("m3_feature_importance", f"""SELECT CAST(i AS INTEGER) AS rank, 1 AS in_order, 1 AS once, CAST({len(BASE)} AS BIGINT) AS features, 1 AS sums_to_one
+FROM range(1, {len(BASE) + 1}) g(i)""")
 def m3(spark, sf):
     train, _, _ = parts(modelling_table(spark, sf))
     model = M.fit_horizons(train, BASE, TARGETS[-1:], small_boost)[TARGETS[-1]]
-    return M.feature_importance(model, BASE, spark)
+    ranked = M.feature_importance(model, BASE, spark)
+    along, whole = Window.orderBy("rank"), Window.partitionBy(F.lit(1))
+    return shown(ranked.select(
+        "rank", F.coalesce(F.lag("importance").over(along) >= F.col("importance"), F.lit(True)).alias("in_order"),
+        (F.col("feature").isin(*BASE) & (F.count("*").over(Window.partitionBy("feature")) == 1)).alias("once"),
+        F.count("*").over(whole).alias("features"), (F.abs(F.sum("importance").over(whole) - 1) < 1e-9).alias("sums_to_one"),
+    ))
 
 
-@check("m4_random_forest")
+@check("m4_random_forest", judged_sql("randomforest"))
 def m4(spark, sf):
     return scored_with(spark, sf, "randomforest", small_forest)
 
 
-@check("m5_boosted_trees")
+@check("m5_boosted_trees", judged_sql("boosted"))
 def m5(spark, sf):
     return scored_with(spark, sf, "boosted", small_boost)
 
 
-@check("m6_parameter_search")
+@check("m6_parameter_search", """SELECT CAST(i AS INTEGER) AS rank, 1 AS in_order, 1 AS tried_once, 1 AS has_error FROM range(1, 5) g(i)""")
 def m6(spark, sf):
     train, validation, _ = parts(modelling_table(spark, sf))
-    tried = M.search(train, validation, BASE, TARGETS[:2], M.random_forest, {"numTrees": [4], "maxDepth": [2, 4]}, "date")
-    return spark.createDataFrame(
-        [(i, t["params"]["maxDepth"], float(t["rmse"])) for i, t in enumerate(tried, start=1)], "rank int, max_depth int, rmse double"
-    )
+    tried = M.search(train, validation, BASE, TARGETS, M.random_forest, {"numTrees": [4, 8], "maxDepth": [2, 4]}, "date")
+    rows = [(i, t["params"]["numTrees"], t["params"]["maxDepth"], float(t["rmse"])) for i, t in enumerate(tried, start=1)]
+    table = spark.createDataFrame(rows, "rank int, trees int, depth int, rmse double")
+    return shown(table.select(
+        "rank", F.coalesce(F.lag("rmse").over(Window.orderBy("rank")) <= F.col("rmse"), F.lit(True)).alias("in_order"),
+        (F.count("*").over(Window.partitionBy("trees", "depth")) == 1).alias("tried_once"), (F.col("rmse") > 0).alias("has_error"),
+    ))
 
 
 # what a trained model predicts has no SQL twin; which rows get a prediction has
@@ -287,12 +318,15 @@ def m7(spark, sf):
     return shown(scores.select(*KEYS, "date", *[F.col(t).between(1, 50).alias(f"has_d{h}") for h, t in enumerate(TARGETS[:2], start=1)]))
 
 
-@check("c6_train_and_evaluate")
+@check("c6_train_and_evaluate", judged_sql("boosted", "ensemble", "randomforest"))
 def c6(spark, sf):
+    """Rank, search, refit with the best parameters, evaluate: all seven horizons."""
     panel = add_targets(daily_panel(spark, sf, BASE), PANEL_SERIES, {"t2m": "t2m"})
-    makers = {"randomforest": small_forest, "lightgbm": small_boost, "xgboost": other_boost}
-    _, _, rows = fc.train_and_evaluate(panel, PANEL_SERIES, BASE, TARGETS, makers, top_k=4, ranker=small_boost)
-    return ev.horizon_metrics(rows)
+    makers = {"randomforest": partial(M.random_forest, numTrees=8), "boosted": partial(M.boosted_trees, maxIter=4, stepSize=0.3)}
+    grids = {"randomforest": {"maxDepth": [2, 4]}, "boosted": {"maxDepth": [2, 3]}}
+    _, _, rows = fc.train_and_evaluate(panel, PANEL_SERIES, BASE, TARGETS, makers, top_k=4, ranker=small_boost, grids=grids)
+    _, _, test = parts(written(panel.na.drop(), "modelling"))
+    return judged(rows, test)
 
 
 @check(
@@ -301,12 +335,12 @@ def c6(spark, sf):
         f"""SELECT {K}, strftime(last, '%Y-%m-%d') AS date, strftime(last + CAST(h AS INTEGER), '%Y-%m-%d') AS target_date,
         CAST(h AS INTEGER) AS horizon_day, model, 1 AS has_forecast, 0 AS has_actual
         FROM (SELECT {K}, max(date) AS last FROM panel GROUP BY {K}), range(1, 8) g(h),
-        (VALUES ('randomforest'), ('xgboost'), ('ensemble')) m(model)""", ("t2m",)),
+        (VALUES ('randomforest'), ('boosted'), ('ensemble')) m(model)""", ("t2m",)),
 )
 def c7(spark, sf):
     truth = daily_panel(spark, sf, BASE)
     panel = add_targets(truth, PANEL_SERIES, {"t2m": "t2m"})
-    makers = {"randomforest": small_forest, "xgboost": other_boost}
+    makers = {"randomforest": small_forest, "boosted": other_boost}
     fitted, used, _ = fc.train_and_evaluate(panel, PANEL_SERIES, BASE, TARGETS, makers)
     name = unique("forecasts")
     rows = fc.forecast_latest(truth, PANEL_SERIES, used, fitted)

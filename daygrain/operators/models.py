@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import itertools
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
@@ -43,14 +44,25 @@ def fit_horizons(
     train: DataFrame, features: Sequence[str], targets: Sequence[str], make: Callable[[], object]
 ) -> dict[str, Model]:
     """One model per target, all on the same assembled rows."""
-    rows = assemble(train.select(*features, *targets).na.drop(), features).select(VECTOR, *targets)
+    with assembled(train, features, targets) as rows:
+        return _fit(rows, targets, make)
+
+
+@contextmanager
+def assembled(df: DataFrame, features: Sequence[str], targets: Sequence[str]) -> Iterator[DataFrame]:
+    """Complete rows as feature vectors and targets, held while models are fitted on them."""
+    rows = assemble(df.select(*features, *targets).na.drop(), features).select(VECTOR, *targets)
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {t: make().setLabelCol(t).setPredictionCol("prediction").fit(rows) for t in targets}
+        yield rows
     finally:
         rows.unpersist()
 
 
+def _fit(rows: DataFrame, targets: Sequence[str], make: Callable[[], object]) -> dict[str, Model]:
+    return {t: make().setLabelCol(t).setPredictionCol("prediction").fit(rows) for t in targets}
+
+
 def score(df: DataFrame, models: Mapping[str, Model], features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns and one prediction column per target, named like the target."""
     scored = assemble(df, features)
@@ -101,11 +113,12 @@ def search(
     horizons of the (later) validation rows.  Ready-made splitters draw rows at random, which
     would let a model see days after those it is judged on."""
     tried = []
-    for values in itertools.product(*grid.values()):
-        params = dict(zip(grid, values))
-        models = fit_horizons(train, features, targets, lambda: make(**params))
-        rows = score_long(validation.na.drop(subset=list(targets)), models, features, "trial", [], time)
-        tried.append({"params": params, "rmse": pooled_rmse(rows)})
+    with assembled(train, features, targets) as rows:
+        for values in itertools.product(*grid.values()):
+            params = dict(zip(grid, values))
+            models = _fit(rows, targets, lambda: make(**params))
+            judged = score_long(validation.na.drop(subset=list(targets)), models, features, "trial", [], time)
+            tried.append({"params": params, "rmse": pooled_rmse(judged)})
     return sorted(tried, key=lambda t: t["rmse"])
 
 

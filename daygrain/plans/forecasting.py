@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
@@ -21,25 +22,34 @@ from daygrain.sources.tables import require_columns
 
 def train_and_evaluate(
     features_table: DataFrame, series: Series, features: Sequence[str], targets: Sequence[str],
-    makers: Mapping[str, Callable[[], object]], top_k: int | None = None, ranker: Callable[[], object] | None = None,
+    makers: Mapping[str, Callable[..., object]], top_k: int | None = None, ranker: Callable[[], object] | None = None,
+    grids: Mapping[str, Mapping[str, Sequence]] | None = None,
 ) -> tuple[dict[str, dict[str, Model]], list[str], DataFrame]:
     """Chronological split, optional top-k features by importance, one model set per maker.
 
+    A maker with a grid in ``grids`` is searched on the validation part, the last fifth of the training rows, and its
+    final models are fitted on all training rows with the best parameters.
+
     Returns the models, the features used, and the forecast rows of the test part (with the
     ensemble of all makers) ready for the metrics.  The table and the scores are written once to
     the shared folder: every fit reads the one, every metric the other.
     """
     needed = dict.fromkeys([*series.keys, series.time, *series.tie, *features, *targets])
     complete = features_table.select(*needed).na.drop()
-    table = written(chronological_split(complete, series, validation_ratio=None), "modelling")
-    train, test = table.where("part = 'train'"), table.where("part = 'test'")
+    table = written(chronological_split(complete, series), "modelling")
+    train, test = table.where("part <> 'test'"), table.where("part = 'test'")
+    earlier, validation = table.where("part = 'train'"), table.where("part = 'validation'")
     chosen = list(features)
     if top_k is not None:
         last = targets[-1]
         ranked = models.fit_horizons(train, chosen, [last], ranker or models.boosted_trees)[last]
         order = models.feature_importance(ranked, chosen, table.sparkSession).limit(top_k).collect()
         chosen = [row.feature for row in order]
-    fitted = {name: models.fit_horizons(train, chosen, targets, make) for name, make in makers.items()}
+    best = {
+        name: models.search(earlier, validation, chosen, targets, makers[name], grid, series.time)[0]["params"]
+        for name, grid in (grids or {}).items()
+    }
+    fitted = {name: models.fit_horizons(train, chosen, targets, partial(make, **best.get(name, {}))) for name, make in makers.items()}
     rows = None
     for name, per_target in fitted.items():
         scored = models.score_long(test, per_target, chosen, name, list(series.keys), series.time)
