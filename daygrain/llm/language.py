@@ -17,7 +17,7 @@ from daygrain.session import written
 
 FEATURES = 1 << 15
 ORDERS = (1, 2, 3)
-SAMPLE = 12_000  # labelled texts that fit the classifier
+SAMPLE = 6_000  # labelled texts that fit the classifier
 UNKNOWN = "und"
 
 _LETTER = np.array([chr(i).isalpha() for i in range(sys.maxunicode + 1)], bool)
@@ -39,7 +39,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(features, counts) of the character n-grams of a whole text; none without letters."""
     codes = letters(text or "")
     if len(codes) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     wide = codes.astype(np.uint64)
     rolling, found = np.zeros(len(wide), np.uint64), []
     for k in range(max(ORDERS)):
@@ -50,7 +50,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
             found.append(value[codes != _SPACE] if k == 0 else value)
     sums = np.bincount(np.concatenate(found), minlength=FEATURES)
     used = np.flatnonzero(sums)
-    return used, sums[used]
+    return used.astype(np.int32), sums[used].astype(np.int32)
 
 
 @dataclass
@@ -99,7 +99,7 @@ def follow_the_regularised_leader(
     def weights(z, n, l1):
         return np.where(np.abs(z) > l1, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2), 0.0)
 
-    vectors = [(used, model.vector(used, counts), label) for used, counts, label in rows]
+    vectors = [(used, model.vector(used, counts).astype(np.float32), label) for used, counts, label in rows]
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in order.permutation(len(vectors)).tolist():
@@ -155,8 +155,8 @@ def _grams(batches):
             found = [grams(t) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("lang"), part.column("fits"), pa.array([u for u, _ in found], pa.list_(pa.int64())),
-                    pa.array([c for _, c in found], pa.list_(pa.int64())),
+                    part.column("lang"), part.column("fits"), pa.array([u for u, _ in found], pa.list_(pa.int32())),
+                    pa.array([c for _, c in found], pa.list_(pa.int32())),
                 ],
                 ["lang", "fits", "used", "counts"],
             )
@@ -186,7 +186,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3) -> Model:
         drawn = drawn.unionByName(part)
     # the n-grams of the sample, not its texts, come to the driver
     picked = written(drawn.select("text", "lang", (F.pmod("h", F.lit(10)) > 0).alias("fits")), "language-sample")
-    kept = picked.repartition(16).mapInArrow(_grams, "lang string, fits boolean, used array<long>, counts array<long>").toArrow()
+    kept = picked.repartition(16).mapInArrow(_grams, "lang string, fits boolean, used array<int>, counts array<int>").toArrow()
     number = {lang: i for i, lang in enumerate(languages)}
     fit, check = [], []
     for lang, fits, used, counts in zip(*(kept.column(c) for c in ("lang", "fits", "used", "counts"))):
