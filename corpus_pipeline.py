@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.llm import decontaminate, language, minhash, packing, secrets
+from daygrain.llm.bitmap import free_name, split_by
 from daygrain.session import written
 
 
@@ -33,12 +34,15 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     found = minhash.near_duplicates(docs, k=5, percent=80).where("doc_id IS NOT NULL")
     by_id = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("times")), "kept")
-    gone = by_id.where("NOT kept").select("doc_id")
-    repeated = by_id.where("kept AND times > 1").select("doc_id")
-    rows = docs.join(gone, "doc_id", "left_anti")
-    once = rows.join(repeated, "doc_id", "left_anti")
-    more = rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(more).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # documents that go, and those of which one row stays; texts of all others are not shuffled
+    known = written(by_id.where("NOT kept OR times > 1"), "gone")
+    doubtful, clear = split_by(docs, known, "doc_id")
+    kept, times = free_name(docs, "kept"), free_name(docs, "times")
+    told = doubtful.join(known.select("doc_id", F.col("kept").alias(kept), F.col("times").alias(times)), "doc_id", "left")
+    single = told.where(F.col(times).isNull())
+    repeated = told.where(F.col(kept) & (F.col(times) > 1)).dropDuplicates(["doc_id", "text"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return clear.unionByName(single.select(*columns)).unionByName(repeated.select(*columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.bitmap import maybe_in
+from daygrain.llm.bitmap import split_by
 from daygrain.llm.graph import components
 from daygrain.llm.text import mixed, pieces, text_sets
 from daygrain.session import written
@@ -327,7 +327,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     def bodies_of(reps: DataFrame, name: str) -> DataFrame:
         """The full sets of the given classes, made again from the texts."""
         wanted = written(reps.distinct().withColumnRenamed("rep", "doc_id"), f"{name}-wanted")
-        likely_wanted = narrow.where(maybe_in(wanted, "doc_id"))
+        likely_wanted, _ = split_by(narrow, wanted, "doc_id")
         texts = likely_wanted.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "rep long, n long, name binary, body binary")
         # a doc_id that repeats with other texts has several sets: the class tells which one is meant
         bodies = texts.join(class_names, ["rep", "n", "name"], "left_semi").groupBy("rep").agg(F.min("body").alias("body"))

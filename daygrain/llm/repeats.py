@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.bitmap import maybe_in
+from daygrain.llm.bitmap import split_by
 from daygrain.llm.text import flat, mixed, pieces
 from daygrain.session import written
 
@@ -318,7 +318,7 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         F.collect_list(F.struct("at", "first", "last")).alias("places")
     )
     wanted = written(places.join(units, "unit"), "repeat-wanted")
-    near = rows.where(maybe_in(wanted.select("unit", F.col("keeper").alias("doc_id")), "unit", "doc_id"))
+    near, _ = split_by(rows, wanted.select("unit", F.col("keeper").alias("doc_id")), "unit", "doc_id")
     joined = near.alias("r").join(wanted.alias("w"), F.expr("r.unit = w.unit AND r.doc_id <=> w.keeper")).select("r.unit", "r.text", "w.places")
     contexts = written(
         joined.mapInArrow(_contexts(length), "unit binary, at long, first int, last int, left int, context binary"), "repeat-contexts"
@@ -345,7 +345,7 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     schema = "doc_id {}, n_bytes long, n_removed long, spans array<long>, n_spans long, kept_sha256 string".format(
         docs.schema["doc_id"].dataType.simpleString()
     )
-    touched = rows.where(maybe_in(runs, "unit")).join(runs, "unit").select("doc_id", "text", size, "runs").mapInArrow(_rebuilt(), schema)
+    touched = split_by(rows, runs, "unit")[0].join(runs, "unit").select("doc_id", "text", size, "runs").mapInArrow(_rebuilt(), schema)
     whole = rows.select("doc_id", "unit", size).join(copied, "unit", "left_semi").select(
         "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.array(F.lit(0).cast("long"), F.col("n_bytes")).alias("spans"),
         F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"),

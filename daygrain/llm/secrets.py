@@ -10,6 +10,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daygrain.llm.bitmap import free_name, split_by
+from daygrain.session import written
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -44,14 +47,6 @@ BASE = ("assign", "access", "hex")
 SCOPE = 200  # code points between the parts of one credential
 
 
-def free_name(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` doesn't have."""
-    taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Names a document by its id and text, so null and repeated ids do no harm."""
     return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))))
@@ -121,7 +116,7 @@ def report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     Defined results: a null or empty text has none; repeated rows are reported one by one, alike; a null doc_id is a
     row like others; a match may be as long as its text; an empty table gives no rows; other columns are not read.
     """
-    spans = linked(matches(docs), scope).groupBy("row").agg(
+    spans = linked(written(matches(docs), "matches"), scope).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "no", "end"))).alias("spans")
     )
     names = F.array(*[F.lit(k.name) for k in KINDS])
@@ -149,14 +144,16 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> Dat
 
     ``n_chars``, where there is such a column, counts the new text.
     """
-    spans = linked(matches(docs), scope)
+    spans = linked(written(matches(docs), "matches"), scope)
     ahead = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     begun = spans.withColumn("new", F.coalesce(F.col("start") >= F.max("end").over(ahead), F.lit(True)).cast("int"))
     runs = begun.withColumn("run", F.sum("new").over(Window.partitionBy("row").orderBy("start", "end")))
     runs = runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     runs = runs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
     key, cuts = free_name(docs, "row"), free_name(docs, "cuts")
-    joined = docs.withColumn(key, row_key()).join(runs.select(F.col("row").alias(key), F.col("cuts").alias(cuts)), key, "left")
+    named = written(runs.select(F.col("row").alias(key), F.col("cuts").alias(cuts)), "cuts")
+    doubtful, clear = split_by(docs.withColumn(key, row_key()), named, key)
+    joined = doubtful.join(named, key, "left")
     between = F.expr(
         f"transform({cuts}, (c, i) -> substring(text, int(if(i = 0, 0, element_at({cuts}, i).end)) + 1, "
         f"int(c.start - if(i = 0, 0, element_at({cuts}, i).end))))"
@@ -166,4 +163,5 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> Dat
     new = {"text": text}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col(cuts).isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return joined.select(*[(new[c] if c in new else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    cut = joined.select(*[(new[c] if c in new else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return clear.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(cut)
