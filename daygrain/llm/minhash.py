@@ -347,9 +347,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     labelled = members.select("pivot", "rep").distinct().join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
     ).withColumn("label", F.coalesce("component", "rep")).drop("component")
+    labelled = written(labelled, "labelled")
     open_groups = labelled.groupBy("pivot").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
     ).where("low < high AND size > 2").select("pivot", F.ceil(F.col("size") / BLOCK).cast("int").alias("chunks"))
+    open_groups = written(open_groups, "open-groups")
     facts = classes.select("rep", "n", "sketch")
     blocks = (
         labelled.join(open_groups, "pivot").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))

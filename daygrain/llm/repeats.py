@@ -235,7 +235,8 @@ def _classes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     going = written(going, "repeat-nodes")
     groups = going.groupBy("low", "inner").agg(F.count("*").alias("n"), F.min("settled").alias("over")).where("n > 1 AND NOT over")
-    return covered, going.join(groups.select("low", "inner"), ["low", "inner"], "left_semi")
+    open_groups = written(groups.select("low", "inner"), "repeat-groups")
+    return covered, going.join(open_groups, ["low", "inner"], "left_semi")
 
 
 def _rebuilt():
@@ -306,7 +307,8 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
 
     kind = "unit binary, at long, first int, last int, inner long, outer long, check long"
     anchored = written(long_rows.select("unit", "text").mapInArrow(_anchored(length), kind), "repeat-anchors")
-    shared = anchored.groupBy("inner").count().where("count > 1").select("inner")
+    # written, both sides of the join are plain exchanges, and the engine splits the rows of a hot string
+    shared = written(anchored.groupBy("inner").count().where("count > 1").select("inner"), "repeat-shared")
     nodes = anchored.join(shared, "inner", "left_semi").dropDuplicates(["unit", "at"])
     side = length - gram(length)
     nodes = written(nodes.select("*", F.lit(0).alias("low"), F.lit(side).alias("high"), F.lit(False).alias("settled")), "repeat-open")
