@@ -80,7 +80,7 @@ def _mean_and_std(values: Sequence[str], sizes: Sequence[int]) -> dict[int, tupl
         variance = f"({squares} - ({total}) * ({total}) / {n}D) / {n - 1}D"
         out[n] = (
             F.expr(f"{first} + ({total}) / {n}D"),
-            F.expr(f"sqrt(CASE WHEN {variance} > 0 THEN {variance} WHEN {_all_known(values[:n])} THEN 0D END)"),
+            F.expr(f"CASE WHEN {_all_known(values[:n])} THEN sqrt(greatest({variance}, 0D)) END"),
         )
     return out
 

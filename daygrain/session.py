@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,8 @@ LOCAL_DEFAULTS = {
     "spark.driver.memory": "12g",
 }
 
+RUN_FOLDER = "daygrain.run.folder"
+
 
 def local_session(cores: str | int = "*", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster use the session it provides."""
@@ -51,8 +55,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the folder of the run at hand."""
+    below = spark.conf.get(RUN_FOLDER, None) or shared_dir(spark)
+    return f"{below.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables that are written for reuse inside this block lie in one folder, which is deleted at its end.
+
+    Results that still read them must have been written elsewhere by then.
+    """
+    before, path = spark.conf.get(RUN_FOLDER, None), shared_path(spark, "run")
+    spark.conf.set(RUN_FOLDER, path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset(RUN_FOLDER)
+        else:
+            spark.conf.set(RUN_FOLDER, before)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
