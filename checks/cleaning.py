@@ -51,10 +51,22 @@ def fcols(names):
     return [f"{c}:f" for c in names]
 
 
-@check("p1_lower_names", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+@check("p1_lower_names", f"SELECT * REPLACE ({r('c_acctbal')} AS c_acctbal) FROM customer")
 def p1(spark, sf):
-    upper = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return cl.lower_names(upper.toDF(*[c.upper() for c in upper.columns]))
+    customer = table(spark, sf, "customer")
+    return shown(cl.lower_names(customer.toDF(*[c.upper() for c in customer.columns])))
+
+
+@check("p7_numeric_columns", f"SELECT o_orderkey, {r('o_totalprice')} AS o_totalprice FROM orders")
+def p7(spark, sf):
+    orders = table(spark, sf, "orders")
+    return shown(orders.select(*cl.numeric_columns(orders, exclude=["o_custkey"])))
+
+
+@check("p15_frame_from_rows", "SELECT * FROM region UNION ALL SELECT 99, 'one more'")
+def p15(spark, sf):
+    region = cl.to_frame(spark, table(spark, sf, "region"))
+    return region.unionByName(cl.to_frame(spark, {"r_regionkey": 99, "r_name": "one more"}, region.schema))
 
 
 @check("p2_rename", with_panel(f"SELECT {K}, strftime(date, '%Y-%m-%d') AS day, {r('t2m')} AS temperature FROM panel"))
@@ -399,6 +411,12 @@ def a5(spark, sf):
     return shown(q.duplicate_times(table(spark, sf, "orders"), Series(("o_orderstatus",), "o_orderdate")))
 
 
+@check("a6_schema_report", """SELECT * FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_nationkey', 'int'),
+('c_acctbal', 'double'), ('c_mktsegment', 'string')) t(column_name, type)""")
+def a6(spark, sf):
+    return q.schema_report(table(spark, sf, "customer"))
+
+
 @check("a7_shape_and_range", "SELECT count(*) AS total_rows, strftime(min(o_orderdate), '%Y-%m-%d') AS min_date, strftime(max(o_orderdate), '%Y-%m-%d') AS max_date FROM orders")
 def a7(spark, sf):
     return shown(load_summary(table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date"))))

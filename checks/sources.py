@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks.common import KEYS, PANEL_SERIES, check, cols, daily_panel, shown, table, with_panel
+from checks.common import KEYS, PANEL_SERIES, check, cols, daily_panel, r, shown, table, with_panel
 from daygrain.operators.merging import fill_actuals
 from daygrain.operators.predictions import persistence
 from daygrain.operators.store import backfill, backfill_in, create_store, read_store, upsert, upsert_into
@@ -26,10 +26,18 @@ def unique(name):
     return f"{name}_{uuid.uuid4().hex}"
 
 
-@check("s1_parquet_scan", f"SELECT o_orderkey, {cols(['o_totalprice:f'])}, strftime(o_orderdate, '%Y-%m-%d') AS o_day FROM orders")
+@check(
+    "s1_parquet_scan",
+    f"SELECT * REPLACE ({r('o_totalprice')} AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders",
+)
 def s1(spark, sf):
-    orders = S.read_parquet(spark, f"{sf}/orders.parquet")
-    return shown(orders.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_day")))
+    return shown(S.read_parquet(spark, f"{sf}/orders.parquet").withColumn("o_orderdate", F.to_date("o_orderdate")))
+
+
+@check("s9_required_input", "SELECT * FROM nation")
+def s9(spark, sf):
+    nation = S.read_parquet(spark, S.require_path(spark, f"{sf}/nation.parquet"))
+    return S.require_columns(nation, ["n_nationkey", "n_name", "n_regionkey"])
 
 
 def orders_csv(spark, sf):
@@ -58,11 +66,11 @@ def s3(spark, sf):
     )
 
 
-@check("s4_table_scan", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+@check("s4_table_scan", f"SELECT * REPLACE ({r('c_acctbal')} AS c_acctbal) FROM customer")
 def s4(spark, sf):
     name = unique("customer_scan")
     S.replace_table(table(spark, sf, "customer"), name, path=shared_path(spark, name))
-    return spark.table(name).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return shown(spark.table(name))
 
 
 # --- landed responses: one document per (series, year) in two batches -----------------------
@@ -244,7 +252,7 @@ LONG_FORECAST = f"""
 SELECT {K}, date, CAST(date + CAST(h AS INTEGER) AS DATE) AS target_date, CAST(h AS INTEGER) AS horizon_day, t2m AS forecast,
 CAST(CASE WHEN h = 7 THEN -1 END AS DOUBLE) AS actual, 'persistence' AS model FROM panel CROSS JOIN range(1, 8) r(h)
 """
-OLD_SQL = "SELECT * FROM pred WHERE date <= DATE '2000-06-30'"
+OLD_SQL = "SELECT * FROM pred WHERE NOT date BETWEEN DATE '2000-07-01' AND DATE '2000-12-15'"
 NEW_SQL = "SELECT * REPLACE (forecast + 1 AS forecast) FROM pred WHERE date BETWEEN DATE '2000-06-25' AND DATE '2000-12-15'"
 UPSERT_SQL = f"""
 SELECT o.* FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE {' AND '.join(f'o.{c} = n.{c}' for c in STORE_KEY)})
@@ -260,7 +268,7 @@ def store_parts(spark, sf):
     panel = daily_panel(spark, sf, ("t2m",))
     rows = persistence(panel, PANEL_SERIES, "t2m").withColumn("actual", F.when(F.col("horizon_day") == 7, -1.0))
     rows = rows.select(*KEYS, "date", "target_date", "horizon_day", "forecast", "actual", "model")
-    old = rows.where("date <= DATE'2000-06-30'")
+    old = rows.where("NOT date BETWEEN DATE'2000-07-01' AND DATE'2000-12-15'")
     new = rows.where("date BETWEEN DATE'2000-06-25' AND DATE'2000-12-15'").withColumn("forecast", F.col("forecast") + 1)
     truth = panel.where("day(date) % 10 <> 0").select(*KEYS, "date", "t2m")
     return old, new, truth
