@@ -83,23 +83,48 @@ def a14(spark, sf):
     return shown(fitted.drop("intercept")).join(rounded, [*KEYS, "year"])
 
 
-# the tables span seven calendar years, so a curve of degree 10 (cut to 6) passes through every mean
+# the tables span seven calendar years, so a curve of degree 10 passes through every mean
 @check("a15_polynomial_trend", with_panel(f"SELECT {K}, year, {r('mean', 5)} AS mean, {r('mean', 5)} AS fitted FROM yearly", ("t2m",), yearly=YEARLY))
 def a15(spark, sf):
     yearly = stats.yearly_mean(daily_panel(spark, sf, ("t2m",)), PANEL_SERIES, "t2m")
     return shown(stats.polynomial_trend(yearly, PANEL_SERIES, 10), 5)
 
 
-# of degree 1 the curve is the regression line
+def quadratic_sql(points: str) -> str:
+    """Least-squares parabola through (x, mean) of one series, by Cramer's rule on x mapped to [-1, 1]."""
+    return f"""SELECT x, mean, (b0 * (a2 * a4 - a3 * a3) - a1 * (b1 * a4 - a3 * b2) + a2 * (b1 * a3 - a2 * b2)
+      + (n * (b1 * a4 - a3 * b2) - b0 * (a1 * a4 - a3 * a2) + a2 * (a1 * b2 - b1 * a2)) * t
+      + (n * (a2 * b2 - b1 * a3) - a1 * (a1 * b2 - b1 * a2) + b0 * (a1 * a3 - a2 * a2)) * t * t)
+      / (n * (a2 * a4 - a3 * a3) - a1 * (a1 * a4 - a2 * a3) + a2 * (a1 * a3 - a2 * a2)) AS curve
+    FROM (SELECT *, count(*) OVER () AS n, sum(t) OVER () AS a1, sum(t * t) OVER () AS a2, sum(t * t * t) OVER () AS a3,
+      sum(t * t * t * t) OVER () AS a4, sum(mean) OVER () AS b0, sum(t * mean) OVER () AS b1, sum(t * t * mean) OVER () AS b2
+      FROM (SELECT *, 2.0 * (x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ()) - 1 AS t FROM ({points})))"""
+
+
+MONTHS = "SELECT year(date) * 12 + month(date) AS x, avg(t2m) AS mean FROM panel GROUP BY 1"
+YEARS = "SELECT year(date) AS x, avg(t2m) AS mean FROM panel GROUP BY 1"
+
+
+@check(
+    "a15_parabola_of_months",
+    with_panel(f"SELECT x AS month, {r('mean', 5)} AS mean, {r('curve', 5)} AS fitted FROM ({quadratic_sql(MONTHS)})", ("t2m",), ()),
+)
+def a15_months(spark, sf):
+    panel = daily_panel(spark, sf, ("t2m",), ())
+    monthly = panel.groupBy((F.year("date") * 12 + F.month("date")).alias("month")).agg(F.avg("t2m").alias("mean"))
+    return shown(stats.polynomial_trend(monthly, DAILY_SERIES, 2, "month"), 5)
+
+
 @check(
     "c9_trend_report",
     with_panel(
-        f"""SELECT year, {r('mean', 5)} AS mean, {r('slope', 5)} AS slope, {r('intercept', 4)} AS intercept, {r('intercept + slope * year', 5)} AS linear,
-        {r('intercept + slope * year', 5)} AS polynomial FROM (SELECT year, mean, regr_slope(mean, year) OVER () AS slope,
-        regr_intercept(mean, year) OVER () AS intercept FROM (SELECT year(date) AS year, avg(t2m) AS mean FROM panel GROUP BY 1))""", ("t2m",), ()),
+        f"""SELECT x AS year, {r('mean', 5)} AS mean, {r('slope', 5)} AS slope, {r('intercept', 4)} AS intercept,
+        {r('intercept + slope * x', 5)} AS linear, {r('curve', 5)} AS polynomial
+        FROM (SELECT *, regr_slope(mean, x) OVER () AS slope, regr_intercept(mean, x) OVER () AS intercept FROM ({quadratic_sql(YEARS)}))""",
+        ("t2m",), ()),
 )
 def c9(spark, sf):
-    report = trend_report(daily_panel(spark, sf, ("t2m",), ()), DAILY_SERIES, "t2m", 1)
+    report = trend_report(daily_panel(spark, sf, ("t2m",), ()), DAILY_SERIES, "t2m", 2)
     return shown(report.drop("intercept"), 5).join(shown(report.select("year", "intercept"), 4), "year")
 
 
