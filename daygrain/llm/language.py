@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,7 +166,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3) -> Model:
     """A model from texts with a language (text, lang); rows without either are left out.
 
     Document frequencies cover all labelled texts.  The classifier is fitted on at most ``sample`` whole texts, the
-    first by a hash of the text and shared evenly between languages; every tenth of them only calibrates.
+    first distinct ones by a hash, shared evenly between languages; every tenth of them only calibrates.
     """
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     counted = rows.select("text").mapInArrow(_frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
@@ -178,12 +178,14 @@ def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3) -> Model:
     model = Model(languages, idf, np.zeros((FEATURES, len(languages))), np.zeros(len(languages)))
     if not languages:
         return model
+    # which hashes belong to the sample is found without the texts; equal texts are one
     each = max(1, sample // len(languages))
-    drawn = rows.withColumn("h", F.xxhash64("text"))
-    parts = [drawn.where(F.col("lang") == lang).orderBy("h", "text").limit(each) for lang in languages]
-    drawn = parts[0]
-    for part in parts[1:]:
-        drawn = drawn.unionByName(part)
+    drawn = rows.select("lang", "text", F.xxhash64("text").alias("h"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    lowest = drawn.select("lang", "h").distinct().withColumn("at", first).where(F.col("at") <= each)
+    cuts = {r["lang"]: r["h"] for r in lowest.groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    drawn = drawn.where(F.col("h") <= cut[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     # the n-grams of the sample, not its texts, come to the driver
     picked = written(drawn.select("text", "lang", (F.pmod("h", F.lit(10)) > 0).alias("fits")), "language-sample")
     kept = picked.repartition(16).mapInArrow(_grams, "lang string, fits boolean, used array<int>, counts array<int>").toArrow()
