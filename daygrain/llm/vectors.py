@@ -14,6 +14,7 @@ from daygrain.session import written
 
 SAMPLE = 20_480  # rows that fit the index
 LISTS = 1024  # at most
+HELD = 512  # vectors of the largest label that a list shall hold; a vector is sent to each list it asks
 SUBSPACES = 16
 CODES = 256
 BLOCK = 1024
@@ -192,7 +193,6 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = SAMPLE)
     components than most, or a null label or vec_id, have no links and are their own component; repeated rows are
     linked with each other; rows that share a vec_id are one node; an empty table gives no rows.
     """
-    spark = vectors.sparkSession
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
     sound = (
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull()
@@ -209,9 +209,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = SAMPLE)
     classes = written(
         rows.where(usable).groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes"
     )
-    total = classes.count()
+    most = classes.groupBy("label").count().agg(F.max("count")).first()[0]
     drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vector").toArrow().column("vector")
-    index = fitted(unit(_matrix(drawn, width)), int(np.clip(np.sqrt(total), 1, LISTS)), cosine)
+    index = fitted(unit(_matrix(drawn, width)), int(np.clip(-(-most // HELD), 1, LISTS)), cosine)
 
     kind = classes.schema["label"].dataType.simpleString()
     coded = written(
