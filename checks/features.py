@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks.common import KEYS, PANEL_SERIES, DAILY_SERIES, MEASURES, check, daily_panel, panel_sql, r, shown
+from daygrain import Series
 from daygrain import constants as K
 from daygrain.operators.cleaning import sum_column
 from daygrain.operators.windows import add_targets
@@ -105,7 +108,7 @@ def _final(names, keys, digits):
     return ", ".join(out)
 
 
-def temperature_sql(keys=KEYS, digits=5):
+def temperature_sql(keys=KEYS, digits=5, source=None):
     base = list(K.TEMPERATURE_BASE)
     one = stage_one_sql(base, K.TEMPERATURE_ROLLING, K.TEMPERATURE_LAGS, K.ROLLING_WINDOWS)
     two = stage_two_sql()
@@ -117,7 +120,7 @@ def temperature_sql(keys=KEYS, digits=5):
     same = lambda a: " AND ".join([f"s1.{c} IS NOT DISTINCT FROM {a}.{c}" for c in keys] or ["true"])
     win = f"WINDOW w AS (PARTITION BY {by} ORDER BY date)"
     sql = f"""
-    WITH base AS (SELECT {k}date, {', '.join(base)}, dayofyear(date) AS dayofyear FROM ({clean_sql(keys)})),
+    WITH base AS (SELECT {k}date, {', '.join(base)}, dayofyear(date) AS dayofyear FROM ({source or clean_sql(keys)})),
     s1 AS (SELECT * FROM (SELECT *, {listed(one)} FROM base {win}) WHERE {known([*base, *one])}),
     m AS (SELECT {k}month AS mm, avg(t2m) AS avg_m, stddev_samp(t2m) AS std_m FROM s1 GROUP BY {k}month),
     p AS (SELECT {k}quantile_cont(t2m, 0.05) AS p05, quantile_cont(t2m, 0.95) AS p95 FROM s1 {'GROUP BY ' + by if keys else ''}),
@@ -155,6 +158,19 @@ def c3_single(spark, sf):
     return shown(temperature_features(clean_panel(spark, sf, ()), DAILY_SERIES), 5)
 
 
+# a sensor that is silent for two and a half years, and blocks much shorter than that
+SILENT = "date BETWEEN DATE '1994-01-01' AND DATE '1996-06-30'"
+
+
+@check(
+    "c3_temperature_features_outage",
+    temperature_sql((), source=f"SELECT * REPLACE (CASE WHEN NOT {SILENT} THEN tsoil1 END AS tsoil1) FROM ({clean_sql(())})"),
+)
+def c3_outage(spark, sf):
+    clean = clean_panel(spark, sf, ()).withColumn("tsoil1", F.when(F.expr(f"NOT {SILENT}"), F.col("tsoil1")))
+    return shown(temperature_features(clean, Series((), "date", span=64)), 5)
+
+
 @check("c4_rain_features", rain_sql())
 def c4(spark, sf):
     clean = add_targets(clean_panel(spark, sf), PANEL_SERIES, {"t2m": "t2m"})
