@@ -14,7 +14,8 @@ from daygrain.llm.text import LOWER, flat, pieces, word_hashes
 from daygrain.session import written
 
 GROUP = 16384  # pieces packed together
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_000_000  # words a worker keeps
+NEWEST = 100_000
 
 _OPEN: dict[str, "Words"] = {}
 _BREAK = np.zeros(256, np.uint8)
@@ -42,30 +43,50 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.names, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted; small beside a dict
+        self.newest: dict[int, int] = {}
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
         self.first, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
 
     def lookup(self, body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The slot of each word; unknown words are encoded."""
-        if len(self.slots) > CACHE_WORDS:
+        if len(self) > CACHE_WORDS:
             self.clear()
         names, at, inverse = np.unique(word_hashes(body, starts, ends), return_index=True, return_inverse=True)
-        slots = np.array([self.slots.get(x, -1) for x in names.tolist()], np.int64)
+        slots = self._known(names)
         new = np.flatnonzero(slots < 0)
         if len(new):
             raw = body.tobytes()
             fresh = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
             for i in range(0, len(fresh), 8192):
                 self._add(names[new[i:i + 8192]], fresh[i:i + 8192])
-            slots[new] = [self.slots[x] for x in names[new].tolist()]
+            slots[new] = [self.newest[x] for x in names[new].tolist()]
         return slots[inverse]
 
+    def __len__(self) -> int:
+        return len(self.names) + len(self.newest)
+
+    def _known(self, names: np.ndarray) -> np.ndarray:
+        """The slot of each name, or -1."""
+        if len(self.newest) > NEWEST:
+            names_all = np.concatenate([self.names, np.fromiter(self.newest.keys(), np.uint64, len(self.newest))])
+            at_all = np.concatenate([self.at, np.fromiter(self.newest.values(), np.int32, len(self.newest))])
+            order = np.argsort(names_all)
+            self.names, self.at, self.newest = names_all[order], at_all[order], {}
+        slots = np.full(len(names), -1, np.int64)
+        if len(self.names):
+            place = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+            hit = self.names[place] == names
+            slots[hit] = self.at[place[hit]]
+        rest = np.flatnonzero(slots < 0)
+        slots[rest] = [self.newest.get(x, -1) for x in names[rest].tolist()]
+        return slots
+
     def _add(self, names: np.ndarray, words: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
         sizes = np.array([len(x) for x in found], np.int64)
         body = np.array([i for x in found for i in x], np.uint32)
-        n, total = len(self.slots), self.used + len(body)
+        n, total = len(self), self.used + len(body)
         while total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while n + len(names) > len(self.first):
@@ -74,7 +95,7 @@ class Words:
         self.first[n:n + len(names)] = self.used + np.cumsum(sizes) - sizes
         self.size[n:n + len(names)] = sizes
         self.used = total
-        self.slots.update(zip(names.tolist(), range(n, n + len(names))))
+        self.newest.update(zip(names.tolist(), range(n, n + len(names))))
 
 
 def parts(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,7 +133,7 @@ def _tokenised(path: str, capacity: int, end: int):
             _OPEN[path] = Words(path)
         last = np.array([end], np.uint32)
         for batch in batches:
-            for part in pieces(batch, limit=4 << 20):
+            for part in pieces(batch, limit=3 << 20):
                 ids, bounds = token_ids(part.column("text"), _OPEN[path])
                 rows, piece, start, length, crc = [], [], [], [], []
                 for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
