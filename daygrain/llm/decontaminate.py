@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from daygrain.llm.text import LOWER, NOT_ALNUM, flat, pieces, word_hashes, word_spans
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 4 << 20
 
 
@@ -269,7 +269,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     fewer words is one window), n_items, items (their ids as sorted text), spans (starts and ends of hit runs, in
     words), matches (for each test suffix found: its longest verbatim match and where it lies) and contaminated.
 
-    Documents are cut into shards of about 4 MB of whole texts.  Each shard gets a suffix array over its words, in
+    Documents are cut into shards of about 2 MB of whole texts.  Each shard gets a suffix array over its words, in
     which every test suffix is binary-searched; matches never cross documents.  The pass is narrow: nothing is
     shuffled.  Defined results: a null, empty or wordless text has no words and is clean; null and wordless items
     match nothing; items that share an id count once; an item without id hits words and counts as one more item;

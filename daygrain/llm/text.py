@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,14 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES
         stop = max(stop, start + 1)
         yield batch.slice(start, stop - start)
         start = stop
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed arrays to the system; a worker process serves many tasks, and the allocator would keep them."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
