@@ -243,7 +243,7 @@ def parts(table):
     return split.where("part = 'train'"), split.where("part = 'validation'"), split.where("part = 'test'")
 
 
-def judged(rows, test):
+def beats_persistence(rows, test):
     """Rows a horizon, and whether the model beats persistence there."""
     naive = ev.horizon_metrics(
         test.select("t2m", F.explode(F.array(*[
@@ -264,7 +264,7 @@ def judged_sql(*names):
 def scored_with(spark, sf, name, make):
     train, _, test = parts(modelling_table(spark, sf))
     fitted = M.fit_horizons(train, BASE, TARGETS, make)
-    return judged(M.score_long(test, fitted, BASE, name, list(KEYS), "date"), test)
+    return beats_persistence(M.score_long(test, fitted, BASE, name, list(KEYS), "date"), test)
 
 
 @check("m3_feature_importance", f"""SELECT CAST(i AS INTEGER) AS rank, 1 AS in_order, 1 AS once, CAST({len(BASE)} AS BIGINT) AS features, 1 AS sums_to_one
@@ -326,7 +326,7 @@ def c6(spark, sf):
     grids = {"randomforest": {"maxDepth": [2, 4]}, "boosted": {"maxDepth": [2, 3]}}
     _, _, rows = fc.train_and_evaluate(panel, PANEL_SERIES, BASE, TARGETS, makers, top_k=4, ranker=small_boost, grids=grids)
     _, _, test = parts(written(panel.na.drop(), "modelling"))
-    return judged(rows, test)
+    return beats_persistence(rows, test)
 
 
 @check(

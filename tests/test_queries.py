@@ -1,6 +1,8 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import ast
 import os
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -34,3 +36,9 @@ def test_entry_has_rows(spark):
 
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("path", sorted(Path(registry.__file__).parent.glob("*.py")), ids=lambda p: p.stem)
+def test_no_check_replaces_another_name(path):
+    named = [n.name for n in ast.parse(path.read_text()).body if isinstance(n, ast.FunctionDef)]
+    assert len(named) == len(set(named)), sorted(n for n in set(named) if named.count(n) > 1)
