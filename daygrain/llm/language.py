@@ -226,6 +226,17 @@ def predict(rows: DataFrame, model: Model, pred: str = "lang_pred", score: str =
     return out.select(*picked, F.col("lang_pred").alias(pred), F.col("score").alias(score))
 
 
+def _lettered(batches):
+    for batch in batches:
+        for part in pieces(batch):
+            yield part.filter(pa.array([len(letters(t or "")) > 1 for t in part.column("text").to_pylist()], pa.bool_()))
+
+
+def lettered(rows: DataFrame) -> DataFrame:
+    """The rows whose text is not null and has letters."""
+    return rows.mapInArrow(_lettered, rows.schema)
+
+
 def held_out(doc_id, folds: int = 3, fold: int = 1):
     """Whether crc32 of the doc_id as text, modulo ``folds``, is ``fold``; a null doc_id is never held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(folds)) == fold, F.lit(False))

@@ -157,3 +157,21 @@ def test_pipeline_stages_keep_columns_and_oddities(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
     assert shingle_set("a b", 5) == {("a", "b")}
+
+
+def test_language_stage_keeps_whatever_has_letters(spark):
+    columns = "doc_id long, text string, lang string, kept string"
+    texts = [(1, "the dog ran home"), (2, "12,5 %%"), (3, None), (4, "der Hund lief heim"), (5, ""), (6, "Δ"), (None, "le chien")]
+    stage = corpus_pipeline.known_language
+
+    def result(labels):
+        docs = spark.createDataFrame([(i, t, labels.get(i), "x") for i, t in texts], columns)
+        out = stage(spark, docs, SF)
+        assert out.schema == docs.schema
+        return {r.doc_id: r.lang for r in out.collect()}
+
+    lettered = {1, 4, 6, None}
+    assert result({}) == dict.fromkeys(lettered)
+    assert zlib.crc32(b"4") % 3 == 1  # op3 holds this row out
+    assert result({4: "de"}) == dict.fromkeys(lettered, "de")
+    assert set(result({1: "und", 4: "und"})) == lettered
