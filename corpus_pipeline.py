@@ -31,19 +31,22 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
 
-    Repeated rows of one document are copies, too.  Rows without id are in no group and stay.
+    Repeated rows of one document are copies, too; a row with another text is judged by that text.  Rows without id are
+    in no group and stay.
     """
-    found = minhash.near_duplicates(docs, k=5, percent=80).where("doc_id IS NOT NULL")
-    by_id = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("times")), "kept")
-    # documents that go, and those of which one row stays; texts of all others are not shuffled
-    known = written(by_id.where("NOT kept OR times > 1"), "gone")
-    doubtful, clear = split_by(docs, known, "doc_id")
-    kept, times = free_name(docs, "kept"), free_name(docs, "times")
-    told = doubtful.join(known.select("doc_id", F.col("kept").alias(kept), F.col("times").alias(times)), "doc_id", "left")
+    text_hash, kept, times = (free_name(docs, n) for n in ("text_hash", "kept", "times"))
+    key = ["doc_id", text_hash]
+    hashed = docs.withColumn(text_hash, F.xxhash64("text"))
+    found = minhash.near_duplicates(hashed, k=5, percent=80, carried=(text_hash,)).where("doc_id IS NOT NULL")
+    by_row = written(found.groupBy(*key).agg(F.max("kept").alias(kept), F.count("*").alias(times)), "kept")
+    # rows that go, and those of which one stays; texts of all others are not shuffled
+    known = written(by_row.where(~F.col(kept) | (F.col(times) > 1)), "gone")
+    doubtful, clear = split_by(hashed, known, *key)
+    told = doubtful.join(known, key, "left")
     single = told.where(F.col(times).isNull())
     repeated = told.where(F.col(kept) & (F.col(times) > 1)).dropDuplicates(["doc_id", "text"])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return clear.unionByName(single.select(*columns)).unionByName(repeated.select(*columns))
+    return clear.select(*columns).unionByName(single.select(*columns)).unionByName(repeated.select(*columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,7 +94,7 @@ def set_names(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketches(k: int):
+def _sketches(k: int, carried: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
@@ -102,9 +102,9 @@ def _sketches(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), _binary(set_names(sets, bounds)),
-                        _binary(registers(sets, bounds)),
+                        _binary(registers(sets, bounds)), *[part.column(c) for c in carried],
                     ],
-                    ["doc_id", "n", "name", "sketch"],
+                    ["doc_id", "n", "name", "sketch", *carried],
                 )
 
     return run
@@ -162,7 +162,7 @@ def _sets(k: int):
                 body = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends), pa.py_buffer(sets.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), _binary(set_names(sets, bounds)), body],
-                    ["rep", "n", "name", "body"],
+                    ["doc_id", "n", "name", "body"],
                 )
 
     return run
@@ -289,11 +289,11 @@ def _forest(threshold: float, percent: int):
     return _blocks(use)
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, carried: tuple[str, ...] = ()) -> DataFrame:
     """Components of documents whose sets of ``k``-word shingles have ``100 * both >= percent * either``.
 
     Returns doc_id, n_shingles, component_id and kept, one row for each row of ``docs`` (doc_id, text; other
-    columns are not read).
+    columns are not read, but for those named in ``carried``, which follow).  The component's id is its smallest doc_id.
 
     1.  Each text becomes the set of its distinct shingles and a sketch of 128 registers; each register keeps the
         leading zeros and 10 mantissa bits of the smallest hash in its bucket.  Texts with equal sets are one class.
@@ -307,30 +307,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     No bucket is dropped or cut.  Defined results: a null, empty or blank text has the empty set and is linked with
     nothing; a text of fewer than ``k`` words is one shingle of all its words; repeated rows are linked (equal sets)
-    and each keeps its row; a null doc_id takes part in no link and its row is kept; an empty table gives no rows.
+    and each keeps its row; rows that share a doc_id but not the set are linked only if their sets are; a null doc_id
+    takes part in no link and its row is kept; an empty table gives no rows.
     """
     threshold = percent / 100
     narrow = docs.select("doc_id", "text")
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     sketched = written(
-        narrow.mapInArrow(_sketches(k), "doc_id long, n long, name binary, sketch binary"), "sketches"
+        docs.select("doc_id", "text", *carried).mapInArrow(_sketches(k, carried), f"doc_id long, n long, name binary, sketch binary{more}"),
+        "sketches",
     )
     used = sketched.where("n > 0 AND doc_id IS NOT NULL")
-    classes = written(
-        used.groupBy("n", "name").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")), "classes"
-    )
+    # a class has a number of its own: a doc_id that repeats with other texts stands in several
+    classes = used.groupBy("n", "name").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     banded = classes.select("rep", "sketch").mapInArrow(_bands, "band int, key long, rep long")
     buckets = banded.groupBy("band", "key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     members = written(banded.join(buckets, ["band", "key"]), "buckets")
 
-    class_names = classes.select("rep", "n", "name")
-
     def bodies_of(reps: DataFrame, name: str) -> DataFrame:
         """The full sets of the given classes, made again from the texts."""
-        wanted = written(reps.distinct().withColumnRenamed("rep", "doc_id"), f"{name}-wanted")
+        wanted = written(classes.select("rep", "doc_id", "n", "name").join(reps.distinct(), "rep", "left_semi"), f"{name}-wanted")
         likely_wanted, _ = split_by(narrow, wanted, "doc_id")
-        texts = likely_wanted.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "rep long, n long, name binary, body binary")
-        # a doc_id that repeats with other texts has several sets: the class tells which one is meant
-        bodies = texts.join(class_names, ["rep", "n", "name"], "left_semi").groupBy("rep").agg(F.min("body").alias("body"))
+        texts = likely_wanted.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, n long, name binary, body binary")
+        # of a doc_id that repeats with other texts, the set tells which one is meant
+        bodies = texts.join(wanted, ["doc_id", "n", "name"]).groupBy("rep").agg(F.min("body").alias("body"))
         return written(bodies, name)
 
     sketch = lambda side: classes.select(F.col("rep").alias(side), F.col("sketch").alias(f"sketch_{side}"), F.col("n").alias(f"n_{side}"))
@@ -366,16 +367,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     columns = "pivot long, ci int, cj int, rep long, label long, n long, chunk int"
     active = written(sorted_blocks(blocks).mapInArrow(_active(threshold), columns), "active")
     full = active.join(bodies_of(active.select("rep"), "active-sets"), "rep").join(classes.select("rep", "sketch"), "rep")
-    more = written(sorted_blocks(full).mapInArrow(_forest(threshold, percent), "a long, b long"), "more-links")
-    final = components(links.unionByName(more))
-
-    named = classes.select("n", "name", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "n", "name", F.coalesce("component", "rep").alias("component_id")
+    others = written(sorted_blocks(full).mapInArrow(_forest(threshold, percent), "a long, b long"), "more-links")
+    final = written(components(links.unionByName(others)), "final")
+
+    # from here on by doc_id: a component is called by its smallest
+    linked_classes = final.withColumnRenamed("node", "rep").join(classes.select("rep", "doc_id"), "rep")
+    called = written(linked_classes.groupBy("component").agg(F.min("doc_id").alias("component_id")), "called")
+    found = final.join(called, "component").select(F.col("node").alias("rep"), "component_id")
+    named = classes.select("n", "name", "rep", F.col("doc_id").alias("own")).join(found, "rep", "left").select(
+        "n", "name", F.coalesce("component_id", "own").alias("component_id")
     )
-    linked = sketched.select("doc_id", "n", "name").join(named, ["n", "name"], "left")
+    linked = sketched.select("doc_id", "n", "name", *carried).join(named, ["n", "name"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(component)
     return linked.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), *carried,
     )

@@ -42,6 +42,30 @@ def test_hot_group_of_distant_copies(spark, monkeypatch):
     assert 3 < len({v[1] for v in got.values()}) < 50
 
 
+def two_texts():
+    """Document 5 has three texts; each has a near copy of its own."""
+    texts = [" ".join(f"{c}{i}" for i in range(80)) for c in "abc"]
+    near = [t + " end" for t in texts]
+    return [(5, texts[0]), (5, texts[1]), (5, texts[2]), (7, near[0]), (9, near[1]), (2, near[2]), (2, near[2]), (5, texts[0])]
+
+
+def test_a_document_with_several_texts(spark):
+    rows = [(i, t, t[0]) for i, t in two_texts()]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, c string"), 5, carried=("c",)).collect()
+    expected = {"a": 5, "b": 5, "c": 2}
+    assert sorted((r.doc_id, r.c, r.component_id, r.kept) for r in got) == sorted((i, c, expected[c], i == expected[c]) for i, _, c in rows)
+
+
+def test_pipeline_judges_each_text_of_a_document(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, "x") for i, t in two_texts()], "doc_id long, text string, kept string")
+    out = corpus_pipeline.without_near_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    texts = dict.fromkeys(two_texts())
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted((i, t) for i, t in texts if (i, t[0]) in {(5, "a"), (5, "b"), (2, "c")})
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
