@@ -114,16 +114,15 @@ class Items:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def longest_matches(shard: Shard, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(suffix, low, high, long_low, length) of the test suffixes whose window occurs.
+def window_matches(shard: Shard, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix, low, high) of the test suffixes whose window occurs.
 
-    Suffix array entries low..high begin with the suffix's window; the entry long_low has its longest match, of
-    ``length`` words.  A window is ``items.window`` words, or all words of a shorter item.
+    Suffix array entries low..high begin with the suffix's window.  A window is ``items.window`` words, or all words of a shorter item.
     """
     none = np.zeros(0, np.int64)
     total = len(items.hashes)
     if not total or not len(shard.vocabulary):
-        return none, none, none, none, none
+        return none, none, none
     at = np.minimum(np.searchsorted(shard.vocabulary, items.hashes), len(shard.vocabulary) - 1)
     code = np.where(shard.vocabulary[at] == items.hashes, at + 1, -1)
     sizes = np.diff(items.bounds)
@@ -145,24 +144,36 @@ def longest_matches(shard: Shard, items: Items) -> tuple[np.ndarray, np.ndarray,
     high = np.searchsorted(shard.keys, low_key + (span - 1), "right")
     keep = low < high
     live, low, high, taken = live[keep], low[keep], high[keep], taken[keep]
-    # word by word to the end of the longest match
+    # word by word to the end of the window
     length = taken.copy()
-    win_low, win_high, long_low = low.copy(), high.copy(), low.copy()
-    going = np.arange(len(live))
+    going = np.flatnonzero(length < window[live])
     while len(going):
         j = length[going]
-        i = live[going]
-        c = np.where(j < room[i], padded[np.minimum(i + j, total)], -1)
+        c = padded[live[going] + j]
         start, stop = _narrow(shard, low[going], high[going], j, c)
         more = (start < stop) & (c > 0)
         going, start, stop = going[more], start[more], stop[more]
         low[going], high[going] = start, stop
         length[going] += 1
-        within = length[going] <= window[live[going]]
-        win_low[going[within]], win_high[going[within]] = start[within], stop[within]
-        long_low[going] = start
+        going = going[length[going] < window[live[going]]]
     found = length >= window[live]
-    return live[found], win_low[found], win_high[found], long_low[found], length[found]
+    return live[found], low[found], high[found]
+
+
+def match_lengths(suffix: np.ndarray, position: np.ndarray, owner: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """How many words from ``position`` on equal the test suffix, for every place of every window.
+
+    A match goes on as long as the item's next window lies one word further: its length is a window and the windows that
+    follow in the run.
+    """
+    order = np.lexsort((suffix, position - suffix))
+    s, p = suffix[order], position[order]
+    ends = np.ones(len(order), bool)
+    ends[:-1] = (s[1:] != s[:-1] + 1) | (p[1:] != p[:-1] + 1) | (owner[s[1:]] != owner[s[:-1]])
+    last = np.flatnonzero(ends)
+    out = np.empty(len(order), np.int64)
+    out[order] = last[np.searchsorted(last, np.arange(len(order)))] - np.arange(len(order)) + window[s]
+    return out
 
 
 def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +199,7 @@ def search(texts: pa.Array, items: Items, earlier: list[list[int]] | None = None
     hashes, bounds = words_of(texts)
     depth = int(np.diff(items.bounds).max()) if len(items.ids) else 1
     shard = suffix_array(hashes, bounds, depth)
-    suffix, low, high, long_low, length = longest_matches(shard, items)
+    suffix, low, high = window_matches(shard, items)
     which, entry = _spread(low, high)
     position = shard.order[entry]
     sizes = np.diff(items.bounds)
@@ -213,10 +224,16 @@ def search(texts: pa.Array, items: Items, earlier: list[list[int]] | None = None
     for pair in np.unique(doc * max(len(items.ids), 1) + items.owner[suffix[which]]).tolist():
         d, i = divmod(pair, max(len(items.ids), 1))
         found[d].add(items.ids[i])
+    # each text's own longest match of each suffix, the first of equals
+    owner, suffixes = items.owner, suffix[which]
+    length = match_lengths(suffixes, position, owner, window)
+    order = np.lexsort((position, -length, suffixes, doc))
+    first = np.ones(len(order), bool)
+    first[1:] = (doc[order][1:] != doc[order][:-1]) | (suffixes[order][1:] != suffixes[order][:-1])
+    best = order[first]
     longest: list[list[dict]] = [[] for _ in range(len(texts))]
-    place = shard.order[long_low]
-    for s, d, p, n in zip(suffix.tolist(), (np.searchsorted(shard.first, place, "right") - 1).tolist(), place.tolist(), length.tolist()):
-        i = int(items.owner[s])
+    for s, d, p, n in zip(suffixes[best].tolist(), doc[best].tolist(), position[best].tolist(), length[best].tolist()):
+        i = int(owner[s])
         longest[d].append({"item_id": items.ids[i], "item_start": s - int(items.bounds[i]), "doc_start": p - int(shard.first[d]), "n_words": n})
     return Found(shard.counts, n_hit, spans, found, longest)
 
@@ -267,7 +284,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
     Returns doc_id, n_words, n_hit (words inside an occurrence of ``window`` consecutive item words; an item with
     fewer words is one window), n_items, items (their ids as sorted text), spans (starts and ends of hit runs, in
-    words), matches (for each test suffix found: its longest verbatim match and where it lies) and contaminated.
+    words), matches (for each test suffix found in the document: its longest verbatim match there and the first place where
+    that lies) and contaminated.
 
     Documents are cut into shards of about 2 MB of whole texts.  Each shard gets a suffix array over its words, in
     which every test suffix is binary-searched; matches never cross documents.  The pass is narrow: nothing is

@@ -82,3 +82,32 @@ def test_suffix_array_is_sorted():
     suffix = lambda i: [*shard.codes[i:i + np.argmin(shard.codes[i:] != 0)].tolist(), 0]
     listed = [suffix(i) for i in shard.order.tolist()]
     assert listed == sorted(listed) and sorted(shard.order.tolist()) == list(range(len(shard.codes)))
+
+
+def plain_matches(rows, items, window):
+    out = set()
+    for d, text in rows:
+        w = words(text)
+        for i, item in items:
+            x = words(item)
+            for s in range(len(x) - min(window, len(x)) + 1) if x else ():
+                lengths = []
+                for p in range(len(w)):
+                    n = 0
+                    while s + n < len(x) and p + n < len(w) and x[s + n] == w[p + n]:
+                        n += 1
+                    lengths.append(n)
+                if lengths and max(lengths) >= min(window, len(x)):
+                    out.add((d, i, s, lengths.index(max(lengths)), max(lengths)))
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 4])
+def test_every_copy_has_its_own_longest_matches(spark, shards):
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join(["x", *passage[:n], "y", *passage[4:n - 1]])) for i, n in enumerate([30, 30, 22, 12, 11, 30, 9])] + [(7, "a b a b a b c"), (8, None)]
+    items = [(1, " ".join(passage)), (2, " ".join(passage[5:] + passage[:12])), (3, "a b"), (4, "a b a b c a b a b c a b a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(shards)
+    got = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), 10).collect()
+    listed = [(r.doc_id, int(m.item_id), m.item_start, m.doc_start, m.n_words) for r in got for m in r.matches]
+    assert len(listed) == len(set(listed)) and set(listed) == plain_matches(rows, items, 10)
