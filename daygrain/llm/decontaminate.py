@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.text import LOWER, NOT_ALNUM, flat, pieces, word_hashes, word_spans
+from daygrain.session import removed, shared_path
 
 SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 4 << 20
@@ -238,20 +239,43 @@ def search(texts: pa.Array, items: Items, earlier: list[list[int]] | None = None
     return Found(shard.counts, n_hit, spans, found, longest)
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> list[Items]:
-    """The test passages in blocks of about ``block_bytes`` of text, by a count of their bytes.
+def item_blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
+    """The test passages in blocks of about ``block_bytes`` of text, by a count of their bytes; an item is never cut.
 
-    A task holds one block at a time; a larger benchmark makes more passes over the shards, not larger tasks.
+    The driver holds one block at a time: several lie in the shared folder, a folder each, and are read when asked for.
     """
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-int(total) // block_bytes))
-    blocks = []
+    spark, path = benchmark.sparkSession, None
+    if count > 1:
+        path = shared_path(spark, "benchmark-blocks")
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).cast("int"))
+        dealt.repartition("block").write.partitionBy("block").parquet(path)
+        rows = spark.read.schema(dealt.schema).parquet(path)
     for b in range(count):
-        got = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).collect()
+        got = (rows.where(F.col("block") == b) if path else rows).select("item_id", "text").collect()
         hashes, bounds = words_of(pa.array([r["text"] for r in got], pa.string()))
-        blocks.append(Items([r["item_id"] for r in got], hashes, bounds, window))
-    return blocks
+        yield Items([r["item_id"] for r in got], hashes, bounds, window)
+    if path:
+        removed(spark, path)
+
+
+def passes(rows: DataFrame, blocks: Iterator[Items], step) -> DataFrame:
+    """``step(rows, items)`` for one block after the other; a task holds one block.
+
+    What a pass carries to the next is written to the shared folder, and deleted when the next is written.
+    """
+    spark, before = rows.sparkSession, None
+    items = next(blocks)
+    for following in blocks:
+        path = shared_path(spark, "decontamination-pass")
+        made = step(rows, items)
+        made.write.parquet(path)
+        if before:
+            removed(spark, before)
+        rows, before, items = spark.read.schema(made.schema).parquet(path), path, following
+    return step(rows, items)
 
 
 _MATCH = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("n_words", pa.int64())]))
@@ -289,7 +313,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
     Documents are cut into shards of about 2 MB of whole texts.  Each shard gets a suffix array over its words, in
     which every test suffix is binary-searched; matches never cross documents.  The pass is narrow: nothing is
-    shuffled.  Defined results: a null, empty or wordless text has no words and is clean; null and wordless items
+    shuffled.  A benchmark over 4 MB makes several passes, all but the last of which run when this is called.  Defined results: a null, empty or wordless text has no words and is clean; null and wordless items
     match nothing; items that share an id count once; an item without id hits words and counts as one more item;
     repeated documents are reported row by row; an empty table gives no rows, an empty benchmark clean ones.
     """
@@ -300,8 +324,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
         nothing[0].alias("spans"), nothing[1].alias("items"), F.lit(False).alias("unnamed"),
         F.from_json(F.lit("[]"), "array<struct<item_id: string, item_start: long, doc_start: long, n_words: long>>").alias("matches"),
     )
-    for items in item_blocks(benchmark, window):
-        out = out.mapInArrow(_step(items), _CARRIED.format(kind))
+    out = passes(out, item_blocks(benchmark, window), lambda rows, items: rows.mapInArrow(_step(items), _CARRIED.format(kind)))
     return out.select(
         "doc_id", "n_words", "n_hit", (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         "items", "spans", "matches", (F.col("n_hit") > 0).alias("contaminated"),
@@ -319,6 +342,4 @@ def _clean(items: Items):
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has no word inside an occurrence of a benchmark window."""
-    for items in item_blocks(benchmark, window):
-        docs = docs.mapInArrow(_clean(items), docs.schema)
-    return docs
+    return passes(docs, item_blocks(benchmark, window), lambda rows, items: rows.mapInArrow(_clean(items), docs.schema))

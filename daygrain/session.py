@@ -75,8 +75,13 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
             spark.conf.unset(RUN_FOLDER)
         else:
             spark.conf.set(RUN_FOLDER, before)
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        removed(spark, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

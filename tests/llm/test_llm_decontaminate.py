@@ -111,3 +111,16 @@ def test_every_copy_has_its_own_longest_matches(spark, shards):
     got = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), 10).collect()
     listed = [(r.doc_id, int(m.item_id), m.item_start, m.doc_start, m.n_words) for r in got for m in r.matches]
     assert len(listed) == len(set(listed)) and set(listed) == plain_matches(rows, items, 10)
+
+
+def test_one_block_at_a_time(spark, tables, monkeypatch):
+    """Only one block of items is alive while another is read, and no task runs two steps."""
+    rows, items = tables
+    monkeypatch.setattr(decontaminate.item_blocks, "__defaults__", (300,))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontaminate.item_blocks(bench, 10)
+    assert iter(blocks) is blocks and sum(len(b.ids) for b in blocks) == len([t for _, t in items if t is not None])
+    for out in (decontaminate.contamination(docs, bench, 10), decontaminate.decontaminated(docs, bench, 10)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+        assert out.count()
