@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ HELD = 512  # vectors of the largest label that a list shall hold; a vector is s
 SUBSPACES = 16
 CODES = 256
 BLOCK = 1024
+OFTEN = 8192  # vectors of one length that get an index; fewer are compared without
 SLACK = 1e-7
 
 
@@ -131,20 +133,24 @@ def _encoded(index: Index, width: int):
     return run
 
 
-def _compared(index: Index, width: int, cosine: float):
+def _compared(index: Index | None, width: int | None, cosine: float):
+    """Links of a block; without an index, by exact cosines alone."""
     def run(table):
         asks = table.column("asks").to_numpy(zero_copy_only=False)
         rep, copies = (table.column(c).to_numpy() for c in ("rep", "copies"))
-        vectors = _matrix(table.column("vector"), width)
+        vectors = _matrix(table.column("vector"), width or len(table.column("vector")[0]))
         q, d = np.flatnonzero(asks), np.flatnonzero(~asks)
         none = pa.table({"node": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
         if not len(q) or not len(d):
             return none
-        cell = int(table.column("list")[0].as_py())
-        codes = np.frombuffer(b"".join(table.column("codes").take(pa.array(d)).to_pylist()), np.uint8).reshape(len(d), -1)
-        error = table.column("error").to_numpy()[d]
-        points = unit(vectors[q])
-        near = np.sqrt(np.maximum(index.distances(points, cell, codes), 0)) - error[None, :] <= index.radius + SLACK
+        if index is None:
+            near = unit(vectors[q]) @ unit(vectors[d]).T >= cosine - SLACK
+        else:
+            cell = int(table.column("list")[0].as_py())
+            codes = np.frombuffer(b"".join(table.column("codes").take(pa.array(d)).to_pylist()), np.uint8).reshape(len(d), -1)
+            error = table.column("error").to_numpy()[d]
+            points = unit(vectors[q])
+            near = np.sqrt(np.maximum(index.distances(points, cell, codes), 0)) - error[None, :] <= index.radius + SLACK
         i, j = np.nonzero(near & (rep[q][:, None] != rep[d][None, :]))
         scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
         norms = np.sqrt((scaled * scaled).sum(axis=1))
@@ -177,42 +183,11 @@ def _compared(index: Index, width: int, cosine: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = SAMPLE) -> DataFrame:
-    """Links between vectors (vec_id, embedding, label) of equal labels whose cosine is at least ``cosine``.
-
-    Returns vec_id, n_links (other rows linked directly), component_id and kept, one row for each row.
-
-    Equal vectors of a label are one class.  The index (coarse centres, and codebooks of 16 residual subspaces) is
-    fitted on at most ``sample`` classes; every class is indexed.  A class asks every list that can hold a link: the
-    border between its list and the other is at most the link's distance away.  Table lookups give asymmetric
-    distances to the codes; only pairs further apart than the distance plus the code's own error are dropped, so
-    neither step loses a link.  The rest is compared exactly, in double precision.  Lists are cut into blocks, and
-    blocks of questions meet blocks of a list; a block returns counts and a spanning forest, never its pairs.
-
-    Defined results: vectors that are null, zero, hold null or non-finite components, have another number of
-    components than most, or a null label or vec_id, have no links and are their own component; repeated rows are
-    linked with each other; rows that share a vec_id are one node; an empty table gives no rows.
-    """
-    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
-    sound = (
-        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull()
-        & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        & F.exists("vector", lambda x: x != 0)
-    )
-    rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    alone = F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-    common = rows.where("sound").groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
-    if common is None:
-        return rows.select("vec_id", *alone)
-    width = common["width"]
-    usable = F.col("sound") & (F.size("vector") == width)
-    classes = written(
-        rows.where(usable).groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes"
-    )
+def _indexed(classes: DataFrame, width: int, cosine: float, sample: int) -> DataFrame:
+    """Links between classes of one length, by an index of their own."""
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0]
     drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vector").toArrow().column("vector")
     index = fitted(unit(_matrix(drawn, width)), int(np.clip(-(-most // HELD), 1, LISTS)), cosine)
-
     kind = classes.schema["label"].dataType.simpleString()
     coded = written(
         classes.select("label", "rep", "copies", "vector").mapInArrow(
@@ -221,7 +196,15 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = SAMPLE)
         ),
         "vector-codes",
     )
-    asks = coded.select("label", "rep", "copies", "vector", F.explode("probes").alias("list"), F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"))
+    return _met(coded, index, width, cosine)
+
+
+def _met(coded: DataFrame, index: Index | None, width: int | None, cosine: float) -> DataFrame:
+    """(node, n, root) of all blocks in which questions meet a list; without an index a list asks itself only."""
+    nothing = F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error")
+    if index is None:
+        coded = coded.select("label", "rep", "copies", "vector", "list", *nothing, F.array("list").alias("probes"))
+    asks = coded.select("label", "rep", "copies", "vector", F.explode("probes").alias("list"), *nothing)
     key = ["label", "list"]
     sizes = coded.groupBy(*key).count().withColumnRenamed("count", "held").join(
         asks.groupBy(*key).count().withColumnRenamed("count", "asked"), key
@@ -236,10 +219,55 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = SAMPLE)
         *columns, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("asked") - 1)).alias("i"),
         F.pmod(F.xxhash64("rep"), "held").cast("int").alias("j"),
     )
-    met = written(
+    return written(
         questions.unionByName(held).groupBy(*key, "i", "j").applyInArrow(_compared(index, width, cosine), "node long, n long, root long"),
         "vector-links",
     )
+
+
+def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = SAMPLE) -> DataFrame:
+    """Links between vectors (vec_id, embedding, label) of equal labels whose cosine is at least ``cosine``.
+
+    Returns vec_id, n_links (other rows linked directly), component_id and kept, one row for each row.
+
+    Equal vectors of a label are one class; only vectors of one length (number of components) are compared.  The most
+    frequent length, and every other with ``OFTEN`` classes, has an index of its own (coarse centres, and codebooks of 16
+    residual subspaces), fitted on at most ``sample`` classes; every class is indexed.  Classes of rarer lengths are
+    compared in blocks without an index.  A class asks every list that can hold a link: the
+    border between its list and the other is at most the link's distance away.  Table lookups give asymmetric
+    distances to the codes; only pairs further apart than the distance plus the code's own error are dropped, so
+    neither step loses a link.  The rest is compared exactly, in double precision.  Lists are cut into blocks, and
+    blocks of questions meet blocks of a list; a block returns counts and a spanning forest, never its pairs.
+
+    Defined results: vectors that are null, zero, hold null or non-finite components, or a null
+    label or vec_id, have no links and are their own component; repeated rows are
+    linked with each other; rows that share a vec_id are one node; an empty table gives no rows.
+    """
+    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
+    sound = (
+        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull()
+        & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        & F.exists("vector", lambda x: x != 0)
+    )
+    rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
+    alone = F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
+    usable = F.col("sound")
+    classes = written(
+        rows.where(usable).groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        .withColumn("width", F.size("vector")),
+        "vector-classes",
+    )
+    # an index for the most frequent length and for every other that is frequent; all the rest is compared in blocks
+    lengths = classes.groupBy("width").count().orderBy(F.desc("count"), F.desc("width"))
+    first = lengths.limit(1).collect()
+    if not first:
+        return rows.select("vec_id", *alone)
+    own = {r["width"] for r in [*first, *lengths.where(F.col("count") >= OFTEN).collect()]}
+    found = [_indexed(classes.where(F.col("width") == width), width, cosine, sample) for width in sorted(own)]
+    rest = classes.where(~F.col("width").isin(*own))
+    if not rest.isEmpty():
+        found.append(_met(rest.withColumn("list", F.col("width")), None, None, cosine))
+    met = reduce(DataFrame.unionByName, found)
     counts = met.groupBy("node").agg(F.sum("n").alias("n"))
     groups = components(met.select(F.col("node").alias("a"), F.col("root").alias("b")))
     facts = classes.select("label", "vector", "rep", "copies").join(counts.withColumnRenamed("node", "rep"), "rep", "left").join(

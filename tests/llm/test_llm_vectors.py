@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from llm_fixtures import Sets
 
 from daygrain.llm import vectors
@@ -56,6 +57,31 @@ def test_equals_all_pairs(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("often", [20, 8192])
+def test_every_length_is_compared(spark, monkeypatch, often):
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    monkeypatch.setattr(vectors, "OFTEN", often)
+    rng = np.random.default_rng(8)
+    rows = []
+    for width, n in ((12, 90), (5, 60), (20, 40), (3, 6), (1, 2)):
+        centres = rng.normal(size=(6, width))
+        for k in range(n):
+            rows.append((len(rows), [float(x) for x in centres[k % 6] + rng.normal(size=width) * 0.06], k % 2, 1, "c"))
+    rows += [(500, rows[100][1], rows[100][2], 1, ""), (501, rows[100][1], 7, 1, "")]
+    groups, links = Sets(range(len(rows))), [0] * len(rows)
+    for a, (_, u, left, *_) in enumerate(rows):
+        for b, (_, v, right, *_) in enumerate(rows[:a]):
+            x, y = (np.array(e, np.float32).astype(float) for e in (u, v))
+            if left == right and len(x) == len(y) and x @ y / math.sqrt((x @ x) * (y @ y)) >= 0.98:
+                groups.join(a, b)
+                links[a] += 1
+                links[b] += 1
+    expected = {r[0]: (links[i], rows[groups.find(i)][0]) for i, r in enumerate(rows)}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(rows, SCHEMA), 0.98).collect()}
+    assert got == expected
+    assert all(sum(got[r[0]][0] for r in rows if len(r[1]) == width) for width in (12, 5, 20))
+
+
 def test_empty_tables(spark):
     assert vectors.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
     [row] = vectors.near_vectors(spark.createDataFrame([(1, None, 1, 1, "")], SCHEMA)).collect()
