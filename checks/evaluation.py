@@ -177,6 +177,21 @@ def m17(spark, sf):
     return shown(ev.compare_models(judged(spark, sf), [*MODEL_VALUES, "ensemble"], "r2"), 5)
 
 
+def compared_sql(metric):
+    each = ", ".join(f"{r(f'max(x) FILTER (model = {m!r})', 5)} AS {m}" for m in (*MODEL_VALUES, "ensemble"))
+    return with_panel(f"SELECT horizon_day, {each} FROM (SELECT model, horizon_day, {METRIC_SQL[metric]} AS x FROM rows GROUP BY 1, 2) GROUP BY horizon_day", ("t2m", "ts"), **METRICS)
+
+
+@check("m17_compare_models_rmse", compared_sql("rmse"))
+def m17_rmse(spark, sf):
+    return shown(ev.compare_models(judged(spark, sf), [*MODEL_VALUES, "ensemble"], "rmse"), 5)
+
+
+@check("m17_compare_models_mae", compared_sql("mae"))
+def m17_mae(spark, sf):
+    return shown(ev.compare_models(judged(spark, sf), [*MODEL_VALUES, "ensemble"], "mae"), 5)
+
+
 @check(
     "t4_best_and_worst_horizon",
     with_panel(
@@ -318,6 +333,20 @@ def m7(spark, sf):
     return shown(scores.select(*KEYS, "date", *[F.col(t).between(1, 50).alias(f"has_d{h}") for h, t in enumerate(TARGETS[:2], start=1)]))
 
 
+@check(
+    "m7_m9_all_saved_models_score",
+    with_panel(
+        f"""SELECT {K}, strftime(date, '%Y-%m-%d') AS date, {", ".join(f"1 AS has_d{h}" for h in DAYS)} FROM idx
+        WHERE i < n - 7 AND i >= CAST(floor((n - 7) * CAST(0.9 AS DOUBLE)) AS BIGINT)""", ("t2m",), idx=INDEXED),
+)
+def m7_all(spark, sf):
+    train, _, test = parts(modelling_table(spark, sf))
+    path = shared_path(spark, "models")
+    M.save_models(M.fit_horizons(train, BASE, TARGETS, small_forest), path)
+    scores = M.score(test, M.load_models(spark, path, TARGETS), BASE, [*KEYS, "date"])
+    return shown(scores.select(*KEYS, "date", *[F.col(t).between(1, 50).alias(f"has_d{h}") for h, t in enumerate(TARGETS, start=1)]))
+
+
 @check("c6_train_and_evaluate", judged_sql("boosted", "ensemble", "randomforest"))
 def c6(spark, sf):
     """Rank, search, refit with the best parameters, evaluate: all seven horizons."""
