@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from daygrain.llm import decontaminate, language, lattice, licenses, minhash, packing, repeats, secrets, vectors, warc
+from daygrain.llm import decontaminate, language, lattice, licenses, minhash, packing, repeats, secrets, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,6 +75,11 @@ def op10(spark, sf):
     return lattice.document_scores(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op13_embedding_whitening")
+def op13(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 def _found_sql(no: int, pattern: str) -> str:
     quoted = pattern.replace("'", "''")
     return f"""SELECT doc_id, {no} AS no, m, g, generate_subscripts(m, 1) AS i FROM (
