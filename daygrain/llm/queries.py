@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from daygrain.llm import decontaminate, language, lattice, licenses, minhash, packing, repeats, secrets, token_files, vectors, warc, whitening
+from daygrain.llm import alignment, decontaminate, language, lattice, licenses, minhash, packing, repeats, secrets, token_files, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +80,11 @@ def op11(spark, sf):
     return token_files.round_trip(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), end=2)
 
 
+@query("op12_token_alignment")
+def op12(spark, sf):
+    return alignment.aligned(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 @query("op13_embedding_whitening")
 def op13(spark, sf):
     return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS long)"))

@@ -7,9 +7,12 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import test_llm_alignment
 import test_llm_decontaminate
 import test_llm_repeats
 import test_llm_secrets
+import test_llm_token_files
+import test_llm_whitening
 from llm_fixtures import Sets, near_duplicates, shingle_set
 from tokenizers import Tokenizer
 
@@ -51,7 +54,7 @@ def test_equals_sql(spark, name):
 
 def test_every_operator_has_one_query():
     names = [n for n in QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -175,3 +178,29 @@ def test_language_stage_keeps_whatever_has_letters(spark):
     assert zlib.crc32(b"4") % 3 == 1  # op3 holds this row out
     assert result({4: "de"}) == dict.fromkeys(lettered, "de")
     assert set(result({1: "und", 4: "und"})) == lettered
+
+
+def test_op11(spark):
+    got = [tuple(r) for r in QUERIES["op11_token_files"](spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
+    assert sorted(got) == sorted(test_llm_token_files.expected(rows(spark, "documents", "doc_id", "text")))
+
+
+def test_op12(spark):
+    columns = "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    got = [tuple(r) for r in QUERIES["op12_token_alignment"](spark, SF).select(*columns).collect()]
+    assert sorted(got) == sorted(test_llm_alignment.expected(rows(spark, "documents", "doc_id", "text")))
+
+
+def test_op13(spark):
+    found = QUERIES["op13_embedding_whitening"](spark, SF)
+    assert dict(found.dtypes)["deviation"] == "bigint"
+    want, explained = test_llm_whitening.expected(rows(spark, "embeddings", "vec_id", "embedding"), 16)
+    got = {(r.vec_id, r.component): r for r in found.collect()}
+    assert len(got) == len(want) * len(explained)
+    for j, share in enumerate(explained):
+        white = np.array([w[j] for _, _, _, w in want])
+        own = np.array([got[i, j + 1].whitened for i, _, _, _ in want])
+        assert min(np.abs(own - white).max(), np.abs(own + white).max()) < 1e-8
+        assert got[want[0][0], j + 1].explained == pytest.approx(share, rel=1e-9)
+    assert all((got[i, 1].n, got[i, 1].deviation) == (n, d) for i, n, d, _ in want)
+    assert max(r.identity_error for r in got.values()) < 1e-9
