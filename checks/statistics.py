@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.common import DAILY_SERIES, KEYS, PANEL_SERIES, check, cols, daily_panel, r, shown, table, with_panel
-from daygrain.operators import scaling, stats
+from daygrain.operators import neighbours, scaling, stats
 from daygrain.operators.windows import add_targets
 from daygrain.plans.reports import selection_report, trend_report
 from daygrain.series import Series
@@ -150,6 +150,33 @@ def a16(spark, sf):
     return shown(stats.mutual_information(rows, MI_FEATURES, "l_quantity", 20))
 
 
+NEAR_FEATURES = ("t2m_max", "t2m_min", "ts", "evptrns", "gwettop", "prectotcorr", "ws10m")
+
+
+def near_points_sql(i, c):
+    whole = "CAST(floor({0} / CAST(CAST(coalesce(nullif(s{1}, 0), 1) AS FLOAT) AS DOUBLE) * 4294967296.0 + 0.5) AS BIGINT)"
+    return f"""SELECT '{c}' AS feature, date AS id, {whole.format(c, "x")} AS x, {whole.format("t2m", "y")} AS y
+    FROM panel, (SELECT stddev_pop({c}) AS sx, stddev_pop(t2m) AS sy FROM panel)"""
+
+
+@check(
+    "a16_neighbour_information",
+    with_panel(
+        f"""SELECT feature, count(*) AS n, {r(f"greatest(0, any_value(whole) + {neighbours.digamma_sql('3')} - avg({neighbours.digamma_sql('nx')} + {neighbours.digamma_sql('ny')}))")} AS mi
+        FROM counts JOIN (SELECT {neighbours.digamma_sql('count(*)')} AS whole FROM panel) ON true GROUP BY feature""",
+        ("t2m", *NEAR_FEATURES), (),
+        points=" UNION ALL ".join(near_points_sql(i, c) for i, c in enumerate(NEAR_FEATURES)),
+        near="""SELECT a.feature, a.id, any_value(a.x) AS x, any_value(a.y) AS y, min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 4)[4] AS eps
+        FROM points a JOIN points b USING (feature) GROUP BY a.feature, a.id""",
+        counts="""SELECT a.feature, a.id, count(*) FILTER (abs(a.x - b.x) < a.eps OR a.x = b.x) AS nx,
+        count(*) FILTER (abs(a.y - b.y) < a.eps OR a.y = b.y) AS ny FROM near a JOIN points b USING (feature) GROUP BY a.feature, a.id"""),
+)
+def a16_near(spark, sf):
+    """The daily series of all rows, cut into strips of 600 points, so that neighbours are asked across strips."""
+    daily = daily_panel(spark, sf, ("t2m", *NEAR_FEATURES), ())
+    return shown(neighbours.mutual_information_knn(daily, NEAR_FEATURES, "t2m", 3, strip=600))
+
+
 def norm(c, where=""):
     over = f"OVER (PARTITION BY {K})"
     return f"({c} - min({c}) {over}) / nullif(max({c}) {over} - min({c}) {over}, 0)"
