@@ -48,8 +48,10 @@ SCOPE = 200  # code points between the parts of one credential
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Names a document by its id and text, so null and repeated ids do no harm."""
-    return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))))
+    """Names a document by its id and text, so null and repeated ids do no harm; the id's length tells where the text begins."""
+    name = F.col(doc_id).cast("string")
+    sized = F.coalesce(F.concat(F.char_length(name).cast("string"), F.lit(":"), name), F.lit("-"))
+    return F.md5(F.concat(sized, F.lit(":"), F.coalesce(F.col(text), F.lit(""))))
 
 
 def matches(docs: DataFrame) -> DataFrame:

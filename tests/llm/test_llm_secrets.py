@@ -75,3 +75,13 @@ def test_empty_and_native(spark):
     assert secrets.report(docs).collect() == [] and secrets.redacted(docs).collect() == []
     plan = secrets.digest(secrets.report(docs))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_rows_whose_id_and_text_read_alike_are_told_apart(spark):
+    rows = [("1:2", "password=abcdefgh12"), ("1", "2:password=abcdefgh12"), (None, "password=abcdefgh12"), ("", "password=abcdefgh12"),
+            ("-", "password=abcdefgh12"), (":", ":x password=abcdefgh12"), (None, None), ("", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted((str(r.doc_id), [(s.start, s.end) for s in r.spans]) for r in secrets.report(docs).collect())
+    assert got == sorted((str(i), [(t.index("password"), len(t))] if t else []) for i, t in rows)
+    assert len({r.row for r in secrets.report(docs).collect()}) == len(rows)
+    assert sorted(r.text for r in secrets.redacted(docs).where("text is not null").collect()) == sorted(t[:t.index("password")] + "[SECRET]" for _, t in rows if t)
