@@ -15,24 +15,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daygrain.llm.slots import BLOCK, Kept, Runs, Slots
+from daygrain.llm.slots import BLOCK, Kept, Runs, Slots, byte_of_sign, flattened, in_signs, interleaved, whole_words
 from daygrain.llm.text import flat, mixed, pieces
 from daygrain.session import written
 
 SLICE = 4 << 20  # bytes of text whose documents share one row of pair counts
 PAIRS = 1 << 21  # distinct pairs a worker keeps
+CHUNKS = 1 << 19  # distinct chunks a worker keeps
 
 _OPEN: dict[tuple[str, str], "Aligner"] = {}
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
-def byte_of_sign() -> dict[str, int]:
-    """The byte that each sign of a byte-level vocabulary stands for: printable Latin-1 for itself, the rest from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-
-
 def terminals(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """The last token of the second kind in the group of each token, first kind before second.
 
@@ -52,8 +46,8 @@ def terminals(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         succ = far
 
 
-def chunk_starts(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where a text begins, or a space follows something that is surely no white space."""
+def chunk_starts(body: np.ndarray, offsets: np.ndarray, marks: str = "") -> np.ndarray:
+    """Where a text begins, a space follows something that is surely no white space, or a mark an ASCII letter or digit."""
     before = np.concatenate([[0x20], body[:-1]]).astype(np.uint8)
     second = np.concatenate([[0x20] * 2, body[:-2]])[:len(body)].astype(np.uint8)
     third = np.concatenate([[0x20] * 3, body[:-3]])[:len(body)].astype(np.uint8)
@@ -65,16 +59,29 @@ def chunk_starts(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         space = ((b == 0xC2) & ((c == 0x85) | (c == 0xA0))) | ((a == 0xE1) & (((b == 0x9A) & (c == 0x80)) | ((b == 0xA0) & (c == 0x8E))))
         space |= (a == 0xE2) & ((b == 0x80) | (b == 0x81) | (b == 0x96)) | ((a == 0xE3) & (b == 0x80)) | ((a == 0xEF) & (b == 0xBB))
         start[high[space]] = False
+    if marks:
+        start |= _flags(marks.encode())[body] & _ALNUM[before]
     start[offsets[:-1][np.diff(offsets) > 0]] = True
     return np.flatnonzero(start)
 
 
+def _flags(signs: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(signs)] = True
+    return out
+
+
+_ALNUM = _flags(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_MARKS = ",.;:!?"
+
+
 class Aligner:
     """Tokens of both vocabularies for chunks of text, their groups and the pairs that share one.
 
-    A chunk is a run of white space with what follows, up to the next space after something else.  Neither tokenizer
-    joins bytes across chunks: the byte vocabulary's splitter attaches a space to what comes after it, and no piece of
-    the other vocabulary has its space sign behind another sign (else whole texts are chunks).
+    A chunk is a run of white space with what follows, up to the next space after something else, or to a mark after a
+    letter or digit.  Neither tokenizer joins bytes across chunks: the byte vocabulary's splitter attaches a space to what
+    comes after it and parts letters from marks; no piece of the other vocabulary has its space sign behind another sign
+    (else whole texts are chunks), and none has a mark behind a letter or digit (else that mark begins no chunk).
     """
 
     def __init__(self, a: str, b: str):
@@ -86,6 +93,7 @@ class Aligner:
 
         self.a, self.b = Tokenizer.from_file(a), SentencePieceProcessor(model_file=b)
         self.a.encode_special_tokens = True
+        self.bare = Tokenizer(self.a.model)  # takes words in the vocabulary's own signs
         signs = byte_of_sign()
         entries = {i: t for t, i in self.a.get_vocab().items()}
         tokens = [bytes(signs.get(c, 0x3F) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
@@ -95,11 +103,13 @@ class Aligner:
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces_)
         ])
         self.apart = not any(re.search("[^▁]▁", p) for p in pieces_)
+        inner = {q for i, p in enumerate(pieces_) if not self.b.is_byte(i) for p_, q in zip(p, p[1:]) if p_.isascii() and p_.isalnum()}
+        self.marks = "".join(m for m in _MARKS if m not in inner) if self.apart and not any("\n" in p for p in pieces_) else ""
         self.space = self.b.piece_to_id("▁")
         self.digits = self._of([b"%d," % i for i in range(max(len(tokens), len(pieces_)))])
-        # nA, nB, groups, links and whether the bytes differ; the groups as text; numbers of pairs and how often each is linked
-        self.facts, self.text, self.pairs, self.weights = Runs(np.int64), Runs(np.uint8), Runs(np.int32), Runs(np.int32)
-        self.kept = Kept(self.facts, self.text, self.pairs, self.weights)
+        # nA, nB, groups, links and whether the bytes differ; the groups as text; times linked << 32 | number of the pair
+        self.facts, self.text, self.pairs = Runs(np.int64), Runs(np.uint8), Runs(np.int64)
+        self.kept = Kept(self.facts, self.text, self.pairs, kept=CHUNKS)
         self.known, self.names = Slots(), Runs(np.int64)
 
     @staticmethod
@@ -121,11 +131,16 @@ class Aligner:
 
     def _fill(self, chunks: list[bytes]) -> None:
         texts = [c.decode("utf-8", "replace") for c in chunks]
-        found_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        found_b = [ids or [self.space] for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]
+        # a space and letters are one word to the splitter; of letters, those up to U+024F
+        plain = np.array([t[0] == " " and t[1:].isalpha() and max(t) <= "\u024f" for t in texts])
+        easy = whole_words(self.bare, in_signs([chunks[k] for k in np.flatnonzero(plain).tolist()]))
+        hard = self.a.encode_batch_fast([texts[k] for k in np.flatnonzero(~plain).tolist()], add_special_tokens=False)
+        ids_a, size_a = interleaved(plain, easy, flattened([e.ids for e in hard]))
+        # without its first space, which the encoder adds; what has none comes behind a line end, which joins nothing
+        found_b = self.b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
+        found_b = [ids or [self.space] if t[0] == " " else ids[2:] for t, ids in zip(texts, found_b)]
         n = len(chunks)
-        size_a, size_b = (np.array([len(x) for x in f], np.int64) for f in (found_a, found_b))
-        ids_a, ids_b = (np.array([y for x in f for y in x], np.int64) for f in (found_a, found_b))
+        ids_b, size_b = flattened(found_b)
         chunk_a, chunk_b = np.repeat(np.arange(n), size_a), np.repeat(np.arange(n), size_b)
         good = self._same(chunks, self.bytes_a, ids_a, chunk_a) & self._same(chunks, self.bytes_b, ids_b, chunk_b)
         keep_a, keep_b = good[chunk_a], good[chunk_b]
@@ -190,15 +205,14 @@ class Aligner:
         key, at = np.unique((chunk_of[of_a[i]] << 32) | number, return_inverse=True)
         times = np.bincount(at, weights=times_a[i] * times_b[j], minlength=len(key))
         sizes = np.bincount(key >> 32, minlength=n)
-        self.pairs.append(sizes, (key & 0xFFFFFFFF).astype(np.int32))
-        self.weights.append(sizes, np.minimum(times, 2**31 - 1).astype(np.int32))
+        self.pairs.append(sizes, (np.minimum(times, 2**31 - 1).astype(np.int64) << 32) | (key & 0xFFFFFFFF))
 
     def documents(self, texts: pa.Array):
         """Facts (nA, nB, groups, links) and groups' text of each text, and (text, pair, weight) of all, pairs once a text."""
         texts = pc.fill_null(texts, "")
         full = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         body, offsets = flat(pc.if_else(pa.array(full), pc.binary_join_element_wise(pa.scalar(" ", texts.type), texts, pa.scalar("", texts.type)), texts))
-        starts = chunk_starts(body, offsets) if self.apart else offsets[:-1][np.diff(offsets) > 0]
+        starts = chunk_starts(body, offsets, self.marks) if self.apart else offsets[:-1][np.diff(offsets) > 0]
         ends = np.append(starts[1:], len(body)).astype(np.int64)
         owner = np.searchsorted(offsets, starts, "right") - 1
         facts, texts_out, keys, weights = np.zeros((len(full), 5), np.int64), [[] for _ in full], [], []
@@ -215,8 +229,8 @@ class Aligner:
             for k, (x, y) in enumerate(zip(edge, [*edge[1:], len(mine)])):
                 texts_out[mine[edge[k]]].append(signs[after[x]:after[y]])
             pairs, many = self.pairs.take(slots)
-            keys.append((np.repeat(mine, many) << 32) | pairs)
-            weights.append(self.weights.take(slots)[0])
+            keys.append((np.repeat(mine, many) << 32) | (pairs & 0xFFFFFFFF))
+            weights.append((pairs >> 32).astype(np.int32))
             at = stop
         facts[facts[:, 4] > 0] = 0
         key, weight = _added(keys, weights)

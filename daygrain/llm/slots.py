@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,35 +11,26 @@ from daygrain.llm.text import mixed
 
 BLOCK = 1 << 18  # bytes cut into pieces at once
 SHORT = 64  # longer pieces are never kept
-KEPT = 1 << 20  # pieces a worker keeps
+KEPT = 1 << 21  # pieces a worker keeps
 
-_BASE = 0x9E3779B97F4A7C15
-_UNDO = pow(_BASE, -1, 1 << 64)
-_BYTE = np.random.default_rng(20240302).integers(1, 1 << 63, 256, dtype=np.uint64)
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, BLOCK + (BLOCK >> 2))
-        made = []
-        for base in (_BASE, _UNDO):
-            out = np.full(size, base, np.uint64)
-            out[0] = 1
-            made.append(np.cumprod(out, dtype=np.uint64))
-        if size > 2 * BLOCK:  # a block with a very long word; not worth keeping
-            return made[0], made[1]
-        _POWERS[:] = made
-    return _POWERS[0], _POWERS[1]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_MASKS = np.array([(1 << (8 * min(n, 8))) - 1 for n in range(9)], np.uint64)
 
 
 def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span: differences of one running polynomial, shifted back to its start."""
-    up, down = _powers(len(body) + 1)
-    prefix = np.zeros(len(body) + 1, np.uint64)
-    np.cumsum(_BYTE[body] * up[:len(body)], out=prefix[1:])
-    return mixed((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of the first ``SHORT`` bytes and the length of each span, eight bytes at a time."""
+    padded = np.concatenate([body, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(body) + 1, "<u8", padded, strides=(1,))
+    left = ends - starts
+    out = mixed((eights[starts] & _MASKS[np.minimum(left, 8)]) + left.astype(np.uint64) * _STEP)
+    more, at, left = np.flatnonzero(left > 8), starts + 8, left - 8
+    for _ in range(SHORT // 8 - 1):
+        if not len(more):
+            break
+        out[more] = mixed(out[more] * _STEP + (eights[at[more]] & _MASKS[np.minimum(left[more], 8)]))
+        at, left = at + 8, left - 8
+        more = more[left[more] > 0]
+    return out
 
 
 def blocks(body: np.ndarray, offsets: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, int]]:
@@ -108,6 +100,47 @@ class Slots:
             hashes, slots, place = hashes[lost], slots[lost], (place[lost] + 1) & mask
 
 
+def byte_of_sign() -> dict[str, int]:
+    """The byte that each sign of a byte-level vocabulary stands for: printable Latin-1 for itself, the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
+_SIGNS = {b: c for c, b in byte_of_sign().items()}
+
+
+def in_signs(words: list[bytes]) -> list[str]:
+    """Words as a byte-level vocabulary writes them."""
+    return [w.decode("latin-1").translate(_SIGNS) for w in words]
+
+
+def whole_words(bare, words: list[str], group: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words in a row, ids of each) by a tokenizer that takes words as they are; groups spare an object a word."""
+    ids, sizes = [], []
+    for i in range(0, len(words), group):
+        part = words[i:i + group]
+        found = bare.encode(part, is_pretokenized=True, add_special_tokens=False)
+        ids += found.ids
+        sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+    return np.array(ids, np.int64), np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+
+
+def interleaved(first: np.ndarray, parts: tuple, others: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Two (ids, sizes) as one, where ``first`` marks the places of the first."""
+    sizes = np.empty(len(first), np.int64)
+    sizes[first], sizes[~first] = parts[1], others[1]
+    mine = np.repeat(first, sizes)
+    ids = np.empty(int(sizes.sum()), np.int64)
+    ids[mine], ids[~mine] = parts[0], others[0]
+    return ids, sizes
+
+
+def flattened(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum())), sizes
+
+
 class Runs:
     """Arrays of each slot, one after the other in one growing array."""
 
@@ -117,15 +150,16 @@ class Runs:
 
     def clear(self) -> None:
         self.body, self.used = np.empty(1 << 12, self.kind), 0
-        self.first, self.size, self.count = np.empty(1 << 10, np.int64), np.empty(1 << 10, np.int64), 0
+        self.first, self.size, self.count = np.empty(1 << 10, np.int64), np.empty(1 << 10, np.int32), 0
 
     def append(self, sizes: np.ndarray, body: np.ndarray) -> None:
         n, total = self.count + len(sizes), self.used + len(body)
         if total > len(self.body):
-            self.body = np.concatenate([self.body[:self.used], np.empty(max(total, self.used), self.kind)])
+            self.body = np.concatenate([self.body[:self.used], np.empty(len(body) + self.used // 2, self.kind)])
         if n > len(self.first):
-            room = max(n, self.count)
-            self.first, self.size = (np.concatenate([x[:self.count], np.empty(room, np.int64)]) for x in (self.first, self.size))
+            room = len(sizes) + self.count // 2
+            self.first = np.concatenate([self.first[:self.count], np.empty(room, np.int64)])
+            self.size = np.concatenate([self.size[:self.count], np.empty(room, np.int32)])
         self.body[self.used:total] = body
         self.first[self.count:n] = self.used + np.cumsum(sizes) - sizes
         self.size[self.count:n] = sizes
@@ -138,7 +172,7 @@ class Runs:
 
     def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(arrays of these slots in a row, their sizes)"""
-        sizes = self.size[slots]
+        sizes = self.size[slots].astype(np.int64)
         after = np.cumsum(sizes)
         total = int(after[-1]) if len(after) else 0
         return self.body[np.arange(total) + np.repeat(self.first[slots] - (after - sizes), sizes)], sizes
@@ -148,15 +182,15 @@ class Kept:
     """What a worker knows of distinct pieces of text: ``runs``, whose arrays all have a run for each slot.
 
     ``fill`` gets the bytes of new pieces and appends to every run, in their order.  Pieces of more than ``SHORT`` bytes
-    get slots that hold until the next call only; past ``KEPT`` pieces everything is forgotten before the next one.
+    get slots that hold until the next call only; past ``kept`` (``KEPT``) pieces everything is forgotten before the next one.
     """
 
-    def __init__(self, *runs: Runs):
-        self.slots, self.runs = Slots(), runs
+    def __init__(self, *runs: Runs, kept: int | None = None):
+        self.slots, self.runs, self.limit = Slots(), runs, kept
 
     def lookup(self, body: np.ndarray, starts: np.ndarray, ends: np.ndarray, fill) -> np.ndarray:
         """The slot of each span of ``body``."""
-        if self.slots.used > KEPT:
+        if self.slots.used > (self.limit or KEPT):
             self.slots.clear()
             for run in self.runs:
                 run.clear()

@@ -18,7 +18,7 @@ from daygrain.llm import alignment, slots
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 FIRST, SECOND = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
 FIRST.encode_special_tokens = True
-SIGNS = alignment.byte_of_sign()
+SIGNS = slots.byte_of_sign()
 HOSTILE = ["<|endoftext|> <s> </s> <0x0A> <unk>", " lead", "trail ", "  two  spaces  ", "\n\nnew\n line\r\n", "tab\t x", "a  b  c　 d\u0085 e",
            "▁", "a▁ b", "x ▁y", "﻿ a", "​ z", "don't WE'VE 's", "日本語、 テキスト。 é é 😀 👩‍👩‍👧", "\x00 \x1c a\x7f b", "a" * 3000,
            "ab c" * 900, "ﬁ ① Ａ", " ", "   ", "1234 5.678,9", "http://x.y/?q=" + "Zx9" * 60, "  q ᠎ r"]
@@ -85,9 +85,9 @@ def test_equals_plain_python(spark, limit, monkeypatch):
     assert sum(1 for g in got if g[1] == 0) >= 6
 
 
-@pytest.mark.parametrize("kept, pairs, block", [(slots.KEPT, alignment.PAIRS, slots.BLOCK), (20, 50, 100)])
+@pytest.mark.parametrize("kept, pairs, block", [(alignment.CHUNKS, alignment.PAIRS, slots.BLOCK), (20, 50, 100)])
 def test_chunks_equal_whole_texts(kept, pairs, block, monkeypatch):
-    monkeypatch.setattr(slots, "KEPT", kept)
+    monkeypatch.setattr(alignment, "CHUNKS", kept)
     monkeypatch.setattr(alignment, "PAIRS", pairs)
     monkeypatch.setattr(alignment, "BLOCK", block)
     aligner = alignment.Aligner(A, B)
