@@ -21,9 +21,9 @@ import numpy as np
 MAGIC = b"RPG1"
 HEAD = struct.Struct("<4s6Q")
 LEAST = 4  # occurrences that a rule must replace
-SHARE = 16  # a round takes pairs with at least so small a part of the most frequent pair's count
+SHARE = 64  # a round takes pairs with at least so small a part of the most frequent pair's count
 BITS = 18  # of the hash by which a round counts pairs
-GAIN = 0.01  # rounds end when one removes a smaller part of the symbols
+GAIN = 0.03  # rounds end when one removes a smaller part of the symbols
 ROUNDS = 64
 MARK = 256  # symbols between two marks
 
@@ -60,28 +60,34 @@ class Grammar:
     symbols: np.ndarray
 
 
-def _winners(symbols: np.ndarray, least: int) -> np.ndarray:
-    """Places of pairs to replace: frequent ones, and the more frequent of two that overlap.
+def _winners(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, rank) of pairs to replace: frequent ones, and the more frequent of two that overlap.
 
-    Pairs are counted by a hash of ``BITS`` bits; two that share it count as one here, but not where rules are made.  Of
+    Pairs are counted by a hash of ``BITS`` bits; of several that share it one is taken, the rest wait for a later round.  Of
     equal neighbours (a run of one symbol) those at odd places win.
     """
     name = symbols.astype(np.uint32)
-    name = ((name[:-1] * np.uint32(0x9E3779B1) + name[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)).astype(np.int64)
+    name = (name[:-1] * np.uint32(0x9E3779B1) + name[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)
     counts = np.bincount(name, minlength=1 << BITS)
-    floor = max(least, int(counts.max()) // SHARE)
-    weights = np.where(counts >= floor, (counts << BITS) | np.arange(1 << BITS), 0) << 1
-    weight = np.zeros(len(name) + 2, np.int64)
-    np.take(weights, name, out=weight[1:-1])
+    often = np.flatnonzero(counts >= max(least, int(counts.max()) // SHARE))
+    ranks = np.zeros(1 << BITS, np.int32)
+    ranks[often[np.argsort(counts[often], kind="stable")]] = 2 * np.arange(1, len(often) + 1, dtype=np.int32)
+    weight = np.zeros(len(name) + 2, np.int32)
+    np.take(ranks, name, out=weight[1:-1])
     weight[2:-1:2] |= weight[2:-1:2] > 0
     own = weight[1:-1]
-    return np.flatnonzero((own > weight[:-2]) & (own > weight[2:]))
+    at = np.flatnonzero((own > weight[:-2]) & (own > weight[2:]))
+    rank = own[at] >> 1
+    first = np.zeros(len(often) + 1, np.int64)
+    first[rank] = at
+    same = (symbols[at] == symbols[first[rank]]) & (symbols[at + 1] == symbols[first[rank] + 1])
+    return at[same], rank[same]
 
 
 def compressed(ids: np.ndarray, terminals: int, least: int = LEAST, gain: float = GAIN) -> Grammar:
     """Replace frequent pairs by nonterminals, round by round, until a round gains next to nothing.
 
-    Each round counts all neighbouring pairs, and replaces those that occur ``least`` times and at least 1/16 as often as
+    Each round counts all neighbouring pairs, and replaces those that occur ``least`` times and at least 1/64 as often as
     the most frequent one; where two overlap the more frequent one stays.  A rule that would replace fewer than ``least``
     occurrences after that is not made.
     """
@@ -90,14 +96,16 @@ def compressed(ids: np.ndarray, terminals: int, least: int = LEAST, gain: float
     for _ in range(ROUNDS):
         if len(symbols) < 2 * least:
             break
-        at = _winners(symbols, least)
-        pairs, inverse, used = np.unique((symbols[at].astype(np.int64) << 32) | symbols[at + 1], return_inverse=True, return_counts=True)
+        at, rank = _winners(symbols, least)
+        used = np.bincount(rank, minlength=1)
         made = used >= least
         if not made.any():
             break
-        number = np.where(made, len(lengths) + np.cumsum(made) - 1, -1)[inverse]
+        number = np.where(made, len(lengths) + np.cumsum(made) - 1, -1)[rank]
         at, number = at[number >= 0], number[number >= 0]
-        left.append(pairs[made] >> 32), right.append(pairs[made] & 0xFFFFFFFF)
+        where = np.zeros(int(made.sum()), np.int64)
+        where[number - len(lengths)] = at
+        left.append(symbols[where].astype(np.int64)), right.append(symbols[where + 1].astype(np.int64))
         lengths = np.concatenate([lengths, lengths[left[-1]] + lengths[right[-1]]])
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
@@ -147,7 +155,9 @@ class Shard:
                 self.first = np.cumsum(self.lengths) - self.lengths
             sizes = self.lengths[symbols]
             after = np.cumsum(sizes)
-            return self.flat[np.arange(int(after[-1])) + np.repeat(self.first[symbols] - (after - sizes), sizes)]
+            total = int(after[-1])
+            kind = np.int32 if max(total, len(self.flat)) < 1 << 30 else np.int64
+            return self.flat[np.arange(total, dtype=kind) + np.repeat((self.first[symbols] - (after - sizes)).astype(kind), sizes)]
         return self._opened(symbols)
 
     def _opened(self, symbols: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrain.llm.repair import Shard, compressed, to_bytes
-from daygrain.llm.slots import Kept, Runs, blocks
+from daygrain.llm.slots import Kept, Runs, blocks, flattened, in_signs, interleaved, whole_words
 from daygrain.llm.text import LOWER, flat
 from daygrain.session import shared_path, written
 
@@ -24,12 +25,13 @@ GROUP = 4096  # shards summed at once
 
 _OPEN: dict[str, "WordIds"] = {}
 
-# what a byte is to the tokenizer's splitter: white space, punctuation that begins a token after a letter or digit, those, the rest
+# what a byte is to the tokenizer's splitter: white space, marks that begin a token after a letter or digit, those, the rest; a
+# bar begins none, as it stands inside special tokens' strings
 _SPACE, _OTHER, _ALNUM, _MARK = range(4)
 _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
 _CLASS[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = _ALNUM
-_CLASS[[ord(c) for c in ".,;:!?"]] = _MARK
+_CLASS[[ord(c) for c in string.punctuation if c != "|"]] = _MARK
 
 
 def cuts(body: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,11 +67,12 @@ class WordIds:
     def _fill(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 8192):
             part = [w.decode("utf-8", "replace") for w in words[i:i + 8192]]
-            plain = [w.isascii() and w.isalpha() and w.islower() for w in part]
-            easy = iter(self.bare.encode_batch_fast([w for w, p in zip(part, plain) if p], add_special_tokens=False))
-            hard = iter(self.tokenizer.encode_batch_fast([w for w, p in zip(part, plain) if not p], add_special_tokens=False))
-            found = [next(easy if p else hard).ids for p in plain]
-            self.ids.append(np.array([len(x) for x in found], np.int64), np.array([y for x in found for y in x], np.uint32))
+            # small letters whose normal form and lower case are known to be themselves, U+017E being the last of them
+            plain = np.array([w.isalpha() and max(w) <= "\u017e" and w == w.lower() for w in part])
+            easy = whole_words(self.bare, in_signs([words[i + k] for k in np.flatnonzero(plain).tolist()]))
+            hard = self.tokenizer.encode_batch_fast([part[k] for k in np.flatnonzero(~plain).tolist()], add_special_tokens=False)
+            ids, sizes = interleaved(plain, easy, flattened([e.ids for e in hard]))
+            self.ids.append(sizes, ids.astype(np.uint32))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids before each text and all)"""

@@ -16,7 +16,7 @@ from daygrain.llm import repair, slots, token_files
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 HOSTILE = ["<|endoftext|>", "A<|EndOfText|>b <|endoftext|> C.D", "don't 'll we've", "a.b,c;d 3.14 x!!", " né ﬁ", "é.́", "日本語、テキスト。",
-           "tab\tnew\nline\x0bv\x0cf\x1cfs", "İSTANBUL ſ K", "ab" * 300_000, "x " * 200_000, " ", "", "A.B" * 50]
+           "tab\tnew\nline\x0bv\x0cf\x1cfs", "İSTANBUL ſ K", "ab" * 300_000, "x " * 200_000, " ", "", "A.B" * 50, "l'été d'élan qu'il's we'll a'b 'S x'", "ÉCOLE Straße İi ŉx ſt ǆ Ǆ ﬀ ÿŸ", "a$$$b c_d (e) f-g h/i j|k l<|m n>o [p] {q} ~r `s`", "x<|endoftext|>y", "c≠d e̸"]
 
 
 def frame(spark, rows, parts=3):
@@ -136,3 +136,15 @@ def test_one_id_on_most_rows_and_text_ids(spark):
     token_files.write(named, path, VOCABULARY, shard_ids=100)
     got = sorted((r.start, r.n_tokens, r.doc_id) for r in token_files.digests(spark, path).collect())
     assert [g[2] for g in got] == sorted(r[0] for r in rows) and len({r[0] for r in spark.read.parquet(f"{path}/shards").select("part").collect()}) > 3
+
+
+def test_hashes_depend_on_the_span_alone():
+    rng = np.random.default_rng(2)
+    body = rng.integers(97, 100, 5000).astype(np.uint8)
+    starts = rng.integers(0, 4900, 3000)
+    ends = starts + rng.integers(1, 65, 3000)
+    names = {}
+    for a, b, h in zip(starts, ends, slots.span_hashes(body, starts, ends).tolist()):
+        assert names.setdefault(body[a:b].tobytes(), h) == h
+    assert len(set(names.values())) == len(names)
+    assert slots.span_hashes(body[-3:], np.array([0, 2]), np.array([3, 3])).tolist() == slots.span_hashes(body, np.array([4997, 4999]), np.array([5000, 5000])).tolist()
