@@ -69,6 +69,14 @@ def p15(spark, sf):
     return region.unionByName(cl.to_frame(spark, {"r_regionkey": 99, "r_name": "one more"}, region.schema))
 
 
+@check("p15_frame_of_customers", "SELECT c_custkey, c_name FROM customer UNION ALL SELECT -1, 'one more' UNION ALL SELECT -2, NULL")
+def p15_customers(spark, sf):
+    """A table as it is, a dict and a list of dicts, all brought to the table's columns."""
+    customers = cl.to_frame(spark, table(spark, sf, "customer")).select("c_custkey", "c_name")
+    more = cl.to_frame(spark, {"c_custkey": -1, "c_name": "one more"}, customers.schema)
+    return customers.unionByName(more).unionByName(cl.to_frame(spark, [{"c_custkey": -2, "c_name": None}], customers.schema))
+
+
 @check("p2_rename", with_panel(f"SELECT {K}, strftime(date, '%Y-%m-%d') AS day, {r('t2m')} AS temperature FROM panel"))
 def p2(spark, sf):
     panel = daily_panel(spark, sf, ("t2m",))
@@ -417,6 +425,17 @@ def a6(spark, sf):
     return q.schema_report(table(spark, sf, "customer"))
 
 
+@check("a6_schema_and_counts", "SELECT column_name, type, rows, known FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS type, count(*) AS rows, count({c}) AS known FROM orders"
+    for c, t in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderpriority", "string"))) + ")")
+def a6_counts(spark, sf):
+    """The schema of a whole table with the rows in which each column is known."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    nulls = q.null_counts(orders)
+    rows = F.lit(orders.count()).cast("bigint")
+    return q.schema_report(orders).join(nulls, "column_name").select("column_name", "type", rows.alias("rows"), (rows - F.col("missing_count")).alias("known"))
+
+
 @check("a7_shape_and_range", "SELECT count(*) AS total_rows, strftime(min(o_orderdate), '%Y-%m-%d') AS min_date, strftime(max(o_orderdate), '%Y-%m-%d') AS max_date FROM orders")
 def a7(spark, sf):
     return shown(load_summary(table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date"))))

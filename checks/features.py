@@ -132,6 +132,30 @@ def temperature_sql(keys=KEYS, digits=5, source=None):
     return sql.replace("@K", by)
 
 
+def carried_sql(targets, keys=KEYS):
+    """Which rows the store keeps when the forecast targets of t2m must be known as well."""
+    by = ", ".join(keys)
+    leads = ", ".join(f"lead(t2m, {h}) OVER t AS {name}" for h, name in enumerate(targets, start=1))
+    source = f"SELECT *, {leads} FROM ({clean_sql(keys)}) WINDOW t AS (PARTITION BY {by} ORDER BY date)"
+    one = stage_one_sql(K.TEMPERATURE_BASE, K.TEMPERATURE_ROLLING, K.TEMPERATURE_LAGS, K.ROLLING_WINDOWS)
+    two = stage_two_sql()
+    three = {f"{c}_lag{k}": _lag(c, k) for c in DERIVED for k in (1, 2, 3)}
+    listed = lambda d: ", ".join(f"{e} AS {n}" for n, e in d.items())
+    known = lambda names: " AND ".join(f"{n} IS NOT NULL" for n in names)
+    win = f"WINDOW w AS (PARTITION BY {by} ORDER BY date)"
+    same = " AND ".join(f"s1.{c} = m.{c}" for c in keys)
+    # quantiles are never null here, so any value stands for them
+    sql = f"""
+    WITH base AS (SELECT {by}, date, {', '.join(K.TEMPERATURE_BASE)}, {', '.join(targets)}, dayofyear(date) AS dayofyear FROM ({source})),
+    s1 AS (SELECT * FROM (SELECT *, {listed(one)} FROM base {win}) WHERE {known([*K.TEMPERATURE_BASE, *targets, *one])}),
+    m AS (SELECT {by}, month AS mm, avg(t2m) AS avg_m, stddev_samp(t2m) AS std_m FROM s1 GROUP BY {by}, month),
+    s2 AS (SELECT s1.*, m.avg_m, m.std_m, 0 AS p05, 0 AS p95 FROM s1 JOIN m ON s1.month = m.mm AND {same}),
+    s3 AS (SELECT *, {listed(two)} FROM s2 {win}), s4 AS (SELECT *, {listed(three)} FROM s3 {win})
+    SELECT {by}, date, t2m FROM s4 WHERE {known([*two, *three])}
+    """
+    return sql.replace("@K", by)
+
+
 def rain_sql(keys=KEYS, digits=6):
     base = list(K.RAIN_BASE)
     targets = {f"t2m_d{h}_forecast": f"lead(t2m, {h}) OVER w" for h in range(1, 8)}

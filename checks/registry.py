@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import (  # noqa: F401  (modules register their queries when imported)
-    cleaning, evaluation, features, sources, statistics, windows,
+    cleaning, evaluation, features, sources, statistics, training, windows,
 )
 from checks.common import ORACLES, QUERIES
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from checks.common import KEYS, PANEL_SERIES, check, cols, daily_panel, r, shown, table, with_panel
 from daygrain.operators.merging import fill_actuals
 from daygrain.operators.predictions import persistence
-from daygrain.operators.store import backfill, backfill_in, create_store, read_store, upsert, upsert_into
+from daygrain.operators.store import (
+    backfill, backfill_in, backfill_version, create_store, read_store, upsert, upsert_into, upsert_version, versioned_store,
+)
 from daygrain.plans.ingest import ingest_responses
-from daygrain.session import shared_path
+from daygrain.session import shared_path, written
 from daygrain.sources import responses as R
-from daygrain.streaming.landing import ingest_new_responses, raw_table
+from daygrain.streaming.landing import ingest_new_responses, ingest_with_faults, raw_table
 from daygrain.sources import tables as S
 
 K = ", ".join(KEYS)
@@ -40,6 +42,13 @@ def s9(spark, sf):
     return S.require_columns(nation, ["n_nationkey", "n_name", "n_regionkey"])
 
 
+@check("s9_required_orders", f"SELECT o_orderkey, o_custkey, o_orderstatus, {r('o_totalprice')} AS o_totalprice FROM orders")
+def s9_orders(spark, sf):
+    """A table that grows: the path and three columns are required before it is read."""
+    orders = S.read_parquet(spark, S.require_path(spark, f"{sf}/orders.parquet"))
+    return shown(S.require_columns(orders, ["o_orderkey", "o_custkey", "o_totalprice"]).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
+
+
 def orders_csv(spark, sf):
     orders = table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     return S.write_csv(orders, shared_path(spark, "orders") + ".csv")
@@ -154,6 +163,31 @@ def c1_landing(spark, sf):
     return shown(raw_table(spark, rows, PANEL_SERIES, ["T2M", "TS", "EVLAND"]))
 
 
+@check(
+    "s8_set_aside",
+    with_panel(
+        f"""SELECT {K}, run, count(*) AS documents, sum(CAST(aside AS INTEGER)) AS set_aside FROM (
+        SELECT {K}, year(date) AS y, year(date) % 5 = 0 AS aside, CASE WHEN year(date) < 1998 THEN 0 ELSE 1 END AS run FROM panel GROUP BY ALL)
+        GROUP BY {K}, run""", ("t2m",)),
+)
+def s8_aside(spark, sf):
+    """Documents of a year each, every fifth one broken in one of four ways, in two runs: each is in one of the two sinks."""
+    landing, rows, aside, checkpoint = (shared_path(spark, n) for n in ("landing", "rows", "aside", "ingest"))
+    yearly = landed(spark, sf).where("batch = 1").withColumn("year", F.expr(
+        "int(left(map_keys(map_values(from_json(body, 'properties struct<parameter: map<string, map<string, double>>>').properties.parameter)[0])[0], 4))"
+    ))
+    kind = F.pmod(F.xxhash64(*KEYS, "year"), F.lit(4))
+    broken = F.when(kind == 0, F.lit(None).cast("string")).when(kind == 1, F.substring("body", 1, 40)).when(kind == 2, '{"messages": []}').otherwise(
+        '{"properties": {"parameter": {"T2M": {}}}}')
+    documents = yearly.withColumn("body", F.when(F.col("year") % 5 == 0, broken).otherwise(F.col("body"))).withColumn("batch", F.col("year").cast("int"))
+    for early in (True, False):
+        documents.where((F.col("year") < 1998) == F.lit(early)).select(*KEYS, "batch", "body").write.mode("append").parquet(landing)
+        ingest_with_faults(spark, landing, rows, aside, checkpoint, KEYS).awaitTermination()
+    good = spark.read.parquet(rows).select(*KEYS, "batch", "run").distinct().withColumn("aside", F.lit(0))
+    bad = spark.read.parquet(aside).select(*KEYS, "batch", "run").withColumn("aside", F.lit(1))
+    return good.unionByName(bad).groupBy(*KEYS, "run").agg(F.count("*").alias("documents"), F.sum("aside").alias("set_aside"))
+
+
 @check(
     "j1_align_parameters",
     with_panel(f"SELECT {cols([*KEYS, 'date:d', 't2m:f', 'ts:f', 'evland:f'])} FROM panel"),
@@ -309,6 +343,28 @@ def k5(spark, sf):
     return shown(read_store(spark, name))
 
 
+@check(
+    "k6_versioned_store",
+    with_panel(
+        f"SELECT {cols(STORE_COLS)} FROM ({FILL_SQL})",
+        pred=LONG_FORECAST,
+        old=OLD_SQL, new=NEW_SQL, store=UPSERT_SQL, truth=TRUTH_SQL,
+    ),
+)
+def k6_versions(spark, sf):
+    """The forecast table as versions: created, upserted twice, filled in; the first version is still what it was."""
+    old, new, truth = (written(part, "part") for part in store_parts(spark, sf))
+    store = versioned_store(spark, shared_path(spark, "versions"))
+    first = store.replace(old)
+    rows = store.read(first).count()
+    upsert_version(store, new, STORE_KEY)
+    upsert_version(store, new, STORE_KEY)
+    backfill_version(store, truth, PANEL_SERIES, "t2m")
+    if store.latest() < 3 or store.read(first).count() != rows:
+        raise AssertionError("an earlier version changed")
+    return shown(store.read())
+
+
 @check(
     "j3_fill_actuals",
     with_panel(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.common import DAILY_SERIES, KEYS, PANEL_SERIES, check, cols, daily_panel, r, shown, table, with_panel
@@ -264,3 +265,33 @@ def t2(spark, sf):
     f"SELECT a, b, {r('r')} AS r FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM panel" for a in FEATURES if a != "evland" for b in FEATURES if b != "evland") + ")", FEATURES))
 def c5(spark, sf):
     return shown(selection_report(daily_panel(spark, sf, FEATURES), "t2m", TOP_FEATURES)["matrix"])
+
+
+C5_FEATURES = tuple(c for c in FEATURES if c not in ("t2m", "evland"))
+
+
+@check("c5_selection_ranking", with_panel(
+    f"SELECT CAST(row_number() OVER (ORDER BY abs(c) DESC, feature) AS INTEGER) AS rank, feature, {r('c')} AS r, {r('abs(c)')} AS abs_r FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, t2m) AS c FROM panel" for c in C5_FEATURES) + ")", ("t2m", *C5_FEATURES)))
+def c5_ranking(spark, sf):
+    """The report's ranking by correlation."""
+    ranking = selection_report(daily_panel(spark, sf, ("t2m", *C5_FEATURES)), "t2m", C5_FEATURES)["correlation"]
+    return shown(ranking.select(F.row_number().over(Window.orderBy(F.desc("abs_r"), "feature")).alias("rank"), "feature", "r", "abs_r"))
+
+
+def panel_mi_sql(c, bins):
+    cells = f"SELECT {bin_sql(c, bins, 'panel')} AS y, {bin_sql('t2m', bins, 'panel')} AS x FROM panel"
+    return f"""SELECT '{c}' AS feature, sum(n / total * ln(n * total / (nx * ny))) AS mi FROM (SELECT x, y, count(*) AS n, sum(count(*)) OVER () AS total,
+    sum(count(*)) OVER (PARTITION BY x) AS nx, sum(count(*)) OVER (PARTITION BY y) AS ny FROM ({cells}) GROUP BY x, y)"""
+
+
+WHOLE_VALUED = ("t2m_max", "t2m_min", "t2m_range", "prectotcorr", "ws10m")  # values on which both engines cut the bins alike
+
+
+@check("c5_selection_information", with_panel(
+    f"SELECT feature, {r('mi')} AS mi FROM (" + " UNION ALL ".join(panel_mi_sql(c, 20) for c in WHOLE_VALUED) + ") ORDER BY mi DESC, feature LIMIT 4",
+    ("t2m", *WHOLE_VALUED)))
+def c5_information(spark, sf):
+    """The report's mutual information of the columns that correlate at all, the best four."""
+    report = selection_report(daily_panel(spark, sf, ("t2m", *WHOLE_VALUED)), "t2m", WHOLE_VALUED, min_abs_r=-1.0, top_mi=4)
+    return shown(report["mutual_information"])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from daygrain.operators.blocks import lookup
 from daygrain.operators.merging import fill_actuals, truth_for
+from daygrain.operators.versions import Versions
 from daygrain.series import Series
 from daygrain.session import shared_path
 
@@ -100,3 +101,28 @@ def backfill_in(
         F.col("__actual").isNotNull() & ~F.col("actual").eqNullSafe(F.col("__actual"))
     )
     _replace_months(spark, table, backfill(_months(spark, table, stale), truth, series, value))
+
+
+# --- the same table as numbered versions (operators.versions): a reader never meets a half-written month -----------------
+
+
+def versioned_store(spark: SparkSession, path: str) -> Versions:
+    return Versions(spark, path, month_of)
+
+
+def upsert_version(store: Versions, new: DataFrame, keys: Sequence[str] = UPSERT_KEY) -> int:
+    """Upsert as a new version; only the origin months of ``new`` are read and written, and two writers lose nothing."""
+    return store.change(store.parts_of(new), lambda old: upsert(old, new, keys), like=new)
+
+
+def backfill_version(store: Versions, truth: DataFrame, series: Series, value: str, since: str | None = None) -> int:
+    """New actual values as a new version; months without a change keep their files."""
+    rows = store.read()
+    if since is not None:
+        rows = store.read(parts=[p for p in store.manifest()["parts"] if p >= since[:7]]).where(F.col("date") >= F.lit(since).cast("date"))
+    known = truth_for(truth, rows, series, value)
+    stale = lookup(rows, known, [*series.keys, "target_date"], "inner").where(
+        F.col("__actual").isNotNull() & ~F.col("actual").eqNullSafe(F.col("__actual"))
+    )
+    months = store.parts_of(stale)
+    return store.change(months, lambda old: backfill(old, truth, series, value)) if months else store.latest()
