@@ -557,19 +557,19 @@ def read_trees(nodes: DataFrame, features: Sequence[str]) -> dict[tuple[str, str
 def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], keep: Sequence[str], name: Callable[[str, str], str] | None = None) -> DataFrame:
     """``keep`` columns and a prediction column for each model and target (by default named like the target)."""
     trees = read_trees(nodes, features)
-    name = name or (lambda model, target: target)
-    kept = [df.schema[c] for c in keep]
+    names = [name(*k) if name else k[1] for k in trees]
+    kept, kept_names = len(keep), list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = np.stack([
-                batch.column(len(kept) + i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(features))
+                batch.column(kept + i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(features))
             ]) if features else np.zeros((0, batch.num_rows))
             made = [pa.array(t.predict(columns)) for t in trees.values()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *made], [*[f.name for f in kept], *[name(*k) for k in trees]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *made], [*kept_names, *names])
 
     rows = nan_free(df, list(features)).select(*keep, *[F.col(f"`{c}`").cast("double").alias(f"__f{i}") for i, c in enumerate(features)])
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], *[f"`{name(*k)}` double" for k in trees]])
+    schema = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep], *[f"`{n}` double" for n in names]])
     return rows.mapInArrow(run, schema)
 
 

@@ -43,7 +43,7 @@ def test_trials_are_repeatable_ordered_and_stopped_early(spark, found):
     rows = S.trials_table(spark, first, SPACE).toPandas()  # noqa: F841  (read by DuckDB)
     best, wrong_order, early, late = duckdb.sql("""SELECT arg_min(trial, rmse) FILTER (NOT stopped),
         (SELECT count(*) FROM rows a JOIN rows b ON a.stopped = b.stopped AND a.rank < b.rank AND a.rmse > b.rmse),
-        count(*) FILTER (stopped AND trees < rounds), count(*) FILTER (NOT stopped AND trees <> rounds) FROM rows""").fetchone()
+        count(*) FILTER (stopped AND trees < rounds), count(*) FILTER (NOT stopped AND trees <> rounds) FROM rows""").fetchall()[0]
     assert best == first[0].number and wrong_order == 0 and early == sum(t.stopped for t in first) > 0 and late == 0
     assert all(r.inner(getattr(t.params, n)) >= -1e-9 and r.inner(getattr(t.params, n)) <= 1 + 1e-9 for t in first for n, r in SPACE.items())
 
