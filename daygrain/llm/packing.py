@@ -10,131 +10,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.text import LOWER, flat, pieces, word_hashes
+from daygrain.llm.text import pieces
+from daygrain.llm.token_files import WordIds
 from daygrain.session import written
 
 GROUP = 16384  # pieces packed together
-CACHE_WORDS = 1_000_000  # words a worker keeps
-NEWEST = 100_000
+CACHE_WORDS = 1 << 19  # words a worker keeps
 
-_OPEN: dict[str, "Words"] = {}
-_BREAK = np.zeros(256, np.uint8)
-_BREAK[[0x20, *range(0x09, 0x0E)]] = 1
-_MARK = np.zeros(256, bool)
-_MARK[[ord(c) for c in ".,;:!?"]] = True
-_ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = True
-
-
-class Words:
-    """Token ids of words, each encoded once by a worker and kept up to a bound.
-
-    The vocabulary's tokenizer drops white space and starts a new token at it, and at punctuation after an ASCII
-    letter or digit; so the ids of a text are those of its parts, one after the other.
-    """
-
-    def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.names, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted; small beside a dict
-        self.newest: dict[int, int] = {}
-        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
-        self.first, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
-
-    def lookup(self, body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The slot of each word; unknown words are encoded."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        names, at, inverse = np.unique(word_hashes(body, starts, ends), return_index=True, return_inverse=True)
-        slots = self._known(names)
-        new = np.flatnonzero(slots < 0)
-        if len(new):
-            raw = body.tobytes()
-            fresh = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
-            for i in range(0, len(fresh), 8192):
-                self._add(names[new[i:i + 8192]], fresh[i:i + 8192])
-            slots[new] = [self.newest[x] for x in names[new].tolist()]
-        return slots[inverse]
-
-    def __len__(self) -> int:
-        return len(self.names) + len(self.newest)
-
-    def _known(self, names: np.ndarray) -> np.ndarray:
-        """The slot of each name, or -1."""
-        if len(self.newest) > NEWEST:
-            names_all = np.concatenate([self.names, np.fromiter(self.newest.keys(), np.uint64, len(self.newest))])
-            at_all = np.concatenate([self.at, np.fromiter(self.newest.values(), np.int32, len(self.newest))])
-            order = np.argsort(names_all)
-            self.names, self.at, self.newest = names_all[order], at_all[order], {}
-        slots = np.full(len(names), -1, np.int64)
-        if len(self.names):
-            place = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
-            hit = self.names[place] == names
-            slots[hit] = self.at[place[hit]]
-        rest = np.flatnonzero(slots < 0)
-        slots[rest] = [self.newest.get(x, -1) for x in names[rest].tolist()]
-        return slots
-
-    def _add(self, names: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in found], np.int64)
-        body = np.array([i for x in found for i in x], np.uint32)
-        n, total = len(self), self.used + len(body)
-        while total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while n + len(names) > len(self.first):
-            self.first, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.first, self.size))
-        self.ids[self.used:total] = body
-        self.first[n:n + len(names)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n:n + len(names)] = sizes
-        self.used = total
-        self.newest.update(zip(names.tolist(), range(n, n + len(names))))
-
-
-def parts(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end) of the parts that are encoded on their own, and the parts before each text."""
-    n = len(body)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = _BREAK[body] == 0
-    edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
-    edge[1:n] |= _MARK[body[1:]] & _ALNUM[body[:-1]]
-    before = np.concatenate([[False], inside[:-1]])
-    after = np.concatenate([inside[1:], [False]])
-    starts = np.flatnonzero(inside & (~before | edge[:-1]))
-    ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    return starts, ends, np.searchsorted(starts, offsets)
-
-
-def token_ids(texts: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in a row, and the ids before each text."""
-    body, offsets = flat(texts)
-    if b"<|" not in body.tobytes():  # the special tokens' strings count as they are written
-        body = LOWER[body]
-    starts, ends, bounds = parts(body, offsets)
-    slots = words.lookup(body, starts, ends)
-    sizes = words.size[slots].astype(np.int64)
-    after = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
-    at = np.arange(after[-1]) + np.repeat(words.first[slots] - after[:-1], sizes)
-    return words.ids[at], after[bounds]
+_OPEN: dict[str, WordIds] = {}
 
 
 def _tokenised(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _OPEN:
-            _OPEN[path] = Words(path)
+            _OPEN[path] = WordIds(path, CACHE_WORDS)
         last = np.array([end], np.uint32)
         for batch in batches:
-            for part in pieces(batch, limit=3 << 20):
-                ids, bounds = token_ids(part.column("text"), _OPEN[path])
+            for part in pieces(batch, limit=1 << 20):
+                ids, bounds = _OPEN[path].encode(part.column("text"))
                 rows, piece, start, length, crc = [], [], [], [], []
                 for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                     own = np.concatenate([ids[a:b], last]).astype("<u4")

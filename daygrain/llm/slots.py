@@ -115,15 +115,22 @@ def in_signs(words: list[bytes]) -> list[str]:
     return [w.decode("latin-1").translate(_SIGNS) for w in words]
 
 
-def whole_words(bare, words: list[str], group: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words in a row, ids of each) by a tokenizer that takes words as they are; groups spare an object a word."""
+def whole_words(bare, words: list[str], closing: np.ndarray | None = None, group: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words in a row, ids of each) by a tokenizer that takes words as they are; groups spare an object a word.
+
+    ``closing`` tells of each id whether it ends a word, if the vocabulary has such ids.
+    """
     ids, sizes = [], []
     for i in range(0, len(words), group):
         part = words[i:i + group]
         found = bare.encode(part, is_pretokenized=True, add_special_tokens=False)
-        ids += found.ids
-        sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
-    return np.array(ids, np.int64), np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+        ids.append(np.array(found.ids, np.int64))
+        if closing is not None:
+            sizes.append(np.diff(np.flatnonzero(closing[ids[-1]]), prepend=-1))
+        else:
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(ids or none), np.concatenate(sizes or none)
 
 
 def interleaved(first: np.ndarray, parts: tuple, others: tuple) -> tuple[np.ndarray, np.ndarray]:

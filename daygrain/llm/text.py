@@ -51,10 +51,10 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES
         stop = max(stop, start + 1)
         yield batch.slice(start, stop - start)
         start = stop
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed arrays to the system; a worker process serves many tasks, and the allocator would keep them."""
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 import zlib
 from collections.abc import Iterator
@@ -34,6 +35,10 @@ _CLASS[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = _ALNUM
 _CLASS[[ord(c) for c in string.punctuation if c != "|"]] = _MARK
 
 
+# small letters whose normal form and lower case are known to be themselves, up to U+017E
+_PLAIN = re.compile("[%s]+" % "".join(c for c in map(chr, range(0x17F)) if c.isalpha() and c == c.lower())).fullmatch
+
+
 def cuts(body: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of the parts between white space; a mark after a letter or digit, and each of ``edges``, begins a part."""
     kind = _CLASS[body]
@@ -52,7 +57,7 @@ def cuts(body: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class WordIds:
     """Token ids by a tokenizer that drops white space and never joins what ``cuts`` separates."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,15 +66,18 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.bare = Tokenizer(self.tokenizer.model)  # without normalising and splitting, which leave small letters as they are
         self.terminals = self.tokenizer.get_vocab_size()
+        suffix, self.closing = self.tokenizer.model.end_of_word_suffix, None
+        if suffix:  # each word ends with an id of its own kind
+            self.closing = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+            self.closing[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.ids = Runs(np.uint32)
-        self.kept = Kept(self.ids)
+        self.kept = Kept(self.ids, kept=kept)
 
     def _fill(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 8192):
             part = [w.decode("utf-8", "replace") for w in words[i:i + 8192]]
-            # small letters whose normal form and lower case are known to be themselves, U+017E being the last of them
-            plain = np.array([w.isalpha() and max(w) <= "\u017e" and w == w.lower() for w in part])
-            easy = whole_words(self.bare, in_signs([words[i + k] for k in np.flatnonzero(plain).tolist()]))
+            plain = np.array([_PLAIN(w) is not None for w in part])
+            easy = whole_words(self.bare, in_signs([words[i + k] for k in np.flatnonzero(plain).tolist()]), self.closing)
             hard = self.tokenizer.encode_batch_fast([part[k] for k in np.flatnonzero(~plain).tolist()], add_special_tokens=False)
             ids, sizes = interleaved(plain, easy, flattened([e.ids for e in hard]))
             self.ids.append(sizes, ids.astype(np.uint32))
