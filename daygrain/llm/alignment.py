@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrain.llm.slots import BLOCK, Kept, Runs, Slots, byte_of_sign, flattened, in_signs, interleaved, whole_words
-from daygrain.llm.text import flat, mixed, pieces
+from daygrain.llm.text import flat, give_back, mixed, pieces
 from daygrain.session import written
 
 SLICE = 4 << 20  # bytes of text whose documents share one row of pair counts
@@ -118,9 +118,9 @@ class Aligner:
         out.append(np.array([len(t) for t in tokens], np.int64), np.frombuffer(b"".join(tokens), np.uint8))
         return out
 
-    def trimmed(self) -> None:
-        """Forget chunks and pairs if there are too many; numbers of pairs hold between two calls."""
-        if self.known.used > PAIRS:
+    def trimmed(self, most: int | None = None) -> None:
+        """Forget chunks and pairs if there are too many (None: ``PAIRS``); numbers of pairs hold between two calls."""
+        if self.known.used > (PAIRS if most is None else most):
             self.known.clear(), self.names.clear(), self.kept.slots.clear()
             for run in self.kept.runs:
                 run.clear()
@@ -290,6 +290,8 @@ def _read(a: str, b: str, with_text: bool):
                     ["slice", "doc", "n_a", "n_b", "n_groups", "n_links", "told", "pairs", "docs", "bounds", "local", "weights"],
                 )
                 number += 1
+        aligner.trimmed(-1)  # a worker that waits for its next task holds nothing
+        give_back()
 
     return run
 
