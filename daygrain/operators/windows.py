@@ -207,14 +207,6 @@ def target_names(prefixes: Sequence[str] = tuple(TARGETS), horizon: int = HORIZO
     return [f"{p}_d{h}_forecast" for p in prefixes for h in range(1, horizon + 1)]
 
 
-def target_block(w: WindowSpec, targets: dict[str, str] = TARGETS, horizon: int = HORIZON) -> list[Column]:
-    return [
-        F.lead(source, h).over(w).alias(f"{prefix}_d{h}_forecast")
-        for prefix, source in targets.items()
-        for h in range(1, horizon + 1)
-    ]
-
-
 def add_lags(df: DataFrame, series: Series, columns: Sequence[str], lags: Sequence[int]) -> DataFrame:
     return over_series(df, series, lambda w: lag_block(columns, lags, w), lookback=max(lags))
 
@@ -246,7 +238,13 @@ def add_targets(
     df: DataFrame, series: Series, targets: dict[str, str] = TARGETS, horizon: int = HORIZON
 ) -> DataFrame:
     """Values of the next ``horizon`` rows as target columns; null at the end of a series."""
-    return over_series(df, series, lambda w: target_block(w, targets, horizon), lookahead=horizon)
+    w, sources = block_window(series), list(dict.fromkeys(targets.values()))
+    ahead = F.struct(*[F.col(f"`{c}`").alias(f"s{i}") for i, c in enumerate(sources)])  # one lead a horizon serves all columns
+    rows = spread(df, series, halo(df, series, lookahead=horizon)).select(
+        "*", *[F.lead(ahead, h).over(w).alias(f"__ahead{h}") for h in range(1, horizon + 1)]
+    )
+    named = [F.expr(f"__ahead{h}.s{sources.index(source)} AS `{prefix}_d{h}_forecast`") for prefix, source in targets.items() for h in range(1, horizon + 1)]
+    return only_home(rows).select(*df.columns, *named)
 
 
 def add_position(df: DataFrame, series: Series, name: str = "day_index") -> DataFrame:
