@@ -41,7 +41,7 @@ def digamma(m: Column) -> Column:
     z = m.cast("double") + 8.0
     steps = sum((1.0 / (m.cast("double") + float(i)) for i in range(1, 8)), 1.0 / m.cast("double"))
     q = 1.0 / (z * z)
-    return F.log(z) - 0.5 / z - q * (1 / 12.0 - q * (1 / 120.0 - q / 252.0)) - steps
+    return F.log(z) - 0.5 / z - q * (1 / 12.0 - q * (1 / 120.0 - q * (1 / 252.0 - q / 240.0))) - steps
 
 
 def digamma_sql(m: str) -> str:
@@ -49,7 +49,7 @@ def digamma_sql(m: str) -> str:
     steps = " + ".join(f"1.0 / (({m}) + {float(i)})" for i in range(8))
     z = f"(({m}) + 8.0)"
     q = f"(1.0 / ({z} * {z}))"
-    return f"(ln({z}) - 0.5 / {z} - {q} * (1 / 12.0 - {q} * (1 / 120.0 - {q} / 252.0)) - ({steps}))"
+    return f"(ln({z}) - 0.5 / {z} - {q} * (1 / 12.0 - {q} * (1 / 120.0 - {q} * (1 / 252.0 - {q} / 240.0))) - ({steps}))"
 
 
 def _nearest(own: np.ndarray, held: np.ndarray, weights: np.ndarray, k: int, limit: np.ndarray | None) -> list[list[dict]]:
