@@ -179,7 +179,8 @@ def m17(spark, sf):
 
 def compared_sql(metric):
     each = ", ".join(f"{r(f'max(x) FILTER (model = {m!r})', 5)} AS {m}" for m in (*MODEL_VALUES, "ensemble"))
-    return with_panel(f"SELECT horizon_day, {each} FROM (SELECT model, horizon_day, {METRIC_SQL[metric]} AS x FROM rows GROUP BY 1, 2) GROUP BY horizon_day", ("t2m", "ts"), **METRICS)
+    value = f"avg(abs({E} / (actual + 1e-8))) * 100" if metric == "mape_eps" else METRIC_SQL[metric]
+    return with_panel(f"SELECT horizon_day, {each} FROM (SELECT model, horizon_day, {value} AS x FROM rows GROUP BY 1, 2) GROUP BY horizon_day", ("t2m", "ts"), **METRICS)
 
 
 @check("m17_compare_models_rmse", compared_sql("rmse"))
@@ -192,6 +193,12 @@ def m17_mae(spark, sf):
     return shown(ev.compare_models(judged(spark, sf), [*MODEL_VALUES, "ensemble"], "mae"), 5)
 
 
+# the comparison divides by the actual value plus 1e-8, as its metric does
+@check("m17_compare_models_mape", compared_sql("mape_eps"))
+def m17_mape(spark, sf):
+    return shown(ev.compare_models(judged(spark, sf), [*MODEL_VALUES, "ensemble"], "mape"), 5)
+
+
 @check(
     "t4_best_and_worst_horizon",
     with_panel(
