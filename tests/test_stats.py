@@ -73,6 +73,22 @@ def test_correlation_skips_null_pairs(spark):
     assert got["b"] == pytest.approx(1) and got["c"] == pytest.approx(-1)
 
 
+def test_a_constant_has_no_correlation_and_comes_last(spark):
+    # 0.1 in parts of different sizes: merged sums of squares are not exactly zero
+    df = spark.range(0, 1000, 1, 7).select(
+        F.col("id").cast("double").alias("t"), F.lit(0.1).alias("same"), F.when(F.col("id") < 5, F.col("id")).otherwise(F.col("id") % 7).cast("double").alias("some"),
+        F.when(F.col("id") == 3, 2.0).alias("once"), F.lit(None).cast("double").alias("none"),
+    )
+    got = stats.correlations(df, ["same", "some", "once", "none"], "t").collect()
+    assert [r.feature for r in got] == ["some", "none", "once", "same"] and [r.r for r in got][1:] == [None] * 3
+    pdf = df.select("t", "some").toPandas()
+    assert got[0].r == pytest.approx(pdf["t"].corr(pdf["some"]), abs=1e-12)
+    # constant only on the rows that both hold, and a constant target
+    pairs = spark.createDataFrame([(1.0, 5.0, 2.0), (2.0, 5.0, 2.0), (None, 6.0, 2.0), (3.0, 5.0, 2.0)], "t double, v double, s double")
+    assert [r.r for r in stats.correlations(pairs, ["v"], "t").collect()] == [None] == [r.r for r in stats.correlations(pairs, ["t"], "s").collect()]
+    assert [r.feature for r in stats.top_features(stats.correlations(df, ["same", "some"], "t"), "abs_r", 5, 0.0).collect()] == ["some"]
+
+
 def test_scalers_round_trip_and_survive_constants(spark):
     df = spark.createDataFrame([(dt.date(2020, 1, d), float(d), 7.0) for d in range(1, 11)], "date date, v double, c double")
     whole = Series((), "date")
