@@ -40,7 +40,7 @@ def both(spark, tables, name):
 
 def last_if_constant(sql, key):
     """The SQL's rows in its order, but with constant columns, which DuckDB ranks as not-a-number first, at the end."""
-    return [*[r for r in sql if r[key] not in CONSTANT], *[r for r in sql if r[key] in CONSTANT]]
+    return [*[row for row in sql if row[key] not in CONSTANT], *[row for row in sql if row[key] in CONSTANT]]
 
 
 def test_ranking(spark, tables):
@@ -48,3 +48,10 @@ def test_ranking(spark, tables):
     expected = [{**row, "rank": i} for i, row in enumerate(last_if_constant(sql, "feature"), start=1)]
     assert sorted(got, key=lambda r: r["rank"]) == expected
     assert [r["feature"] for r in expected if r["r"] is None] == ["t2m_max", "t2m_min"]
+
+
+def test_matrix_holds_all_pairs(spark, tables):
+    got, sql = both(spark, tables, "c5_selection_report")
+    pairs = {(r["a"], r["b"]): r["r"] for r in got}
+    assert len(got) == len(pairs) == 64 and pairs == {(r["a"], r["b"]): r["r"] for r in sql}
+    assert pairs["t2m", "t2m_max"] is None and pairs["t2m_min", "t2m_min"] is None and pairs["t2m", "t2m"] == 1.0
