@@ -55,3 +55,9 @@ def test_matrix_holds_all_pairs(spark, tables):
     pairs = {(r["a"], r["b"]): r["r"] for r in got}
     assert len(got) == len(pairs) == 64 and pairs == {(r["a"], r["b"]): r["r"] for r in sql}
     assert pairs["t2m", "t2m_max"] is None and pairs["t2m_min", "t2m_min"] is None and pairs["t2m", "t2m"] == 1.0
+
+
+def test_feature_list(spark, tables):
+    got, sql = both(spark, tables, "m8_feature_list")
+    order = [r["feature"] for r in last_if_constant(sorted(sql, key=lambda r: r["rank"]), "feature")]
+    assert [r["feature"] for r in sorted(got, key=lambda r: r["rank"])] == order and order[-2:] == ["t2m_max", "t2m_min"]
