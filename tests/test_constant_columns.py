@@ -61,3 +61,9 @@ def test_feature_list(spark, tables):
     got, sql = both(spark, tables, "m8_feature_list")
     order = [r["feature"] for r in last_if_constant(sorted(sql, key=lambda r: r["rank"]), "feature")]
     assert [r["feature"] for r in sorted(got, key=lambda r: r["rank"])] == order and order[-2:] == ["t2m_max", "t2m_min"]
+
+
+def test_top_features(spark, tables):
+    got, sql = both(spark, tables, "t2_top_features")
+    assert sql[0]["abs_r"] is None and got[:3] == [r for r in sql if r["feature"] not in CONSTANT]
+    assert len(got) >= 3 and all(r["abs_r"] > 0.01 and r["feature"] not in CONSTANT for r in got)
