@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from checks import registry
+from checks.common import r, with_panel
+from checks.statistics import panel_mi_sql
 
 CONSTANT = {"t2m_max", "t2m_min", "t2m_range"}
 
@@ -67,3 +69,13 @@ def test_top_features(spark, tables):
     got, sql = both(spark, tables, "t2_top_features")
     assert sql[0]["abs_r"] is None and got[:3] == [r for r in sql if r["feature"] not in CONSTANT]
     assert len(got) >= 3 and all(r["abs_r"] > 0.01 and r["feature"] not in CONSTANT for r in got)
+
+
+def test_information_of_the_columns_that_vary(spark, tables):
+    """The SQL has no bins for constant columns; the same SQL over the others is what is expected."""
+    got = registry.queries()["c5_selection_information"](spark, tables).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tables}/lineitem.parquet/*.parquet'")
+    varying = ("prectotcorr", "ws10m")
+    sql = with_panel(f"SELECT feature, {r('mi')} AS mi FROM (" + " UNION ALL ".join(panel_mi_sql(c, 20) for c in varying) + ")", ("t2m", *varying))
+    assert sorted(tuple(row) for row in got) == sorted(con.execute(sql).fetchall()) and len(got) == 2
