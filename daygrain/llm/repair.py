@@ -67,13 +67,13 @@ def _winners(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     equal neighbours (a run of one symbol) those at odd places win.
     """
     name = symbols.astype(np.uint32)
-    name = (name[:-1] * np.uint32(0x9E3779B1) + name[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)
+    name = ((name[:-1] * np.uint32(0x9E3779B1) + name[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)).astype(np.intp)
     counts = np.bincount(name, minlength=1 << BITS)
     often = np.flatnonzero(counts >= max(least, int(counts.max()) // SHARE))
     ranks = np.zeros(1 << BITS, np.int32)
     ranks[often[np.argsort(counts[often], kind="stable")]] = 2 * np.arange(1, len(often) + 1, dtype=np.int32)
     weight = np.zeros(len(name) + 2, np.int32)
-    np.take(ranks, name, out=weight[1:-1])
+    np.take(ranks, name, out=weight[1:-1], mode="clip")  # the default mode copies what it gives
     weight[2:-1:2] |= weight[2:-1:2] > 0
     own = weight[1:-1]
     at = np.flatnonzero((own > weight[:-2]) & (own > weight[2:]))

@@ -115,6 +115,11 @@ def in_signs(words: list[bytes]) -> list[str]:
     return [w.decode("latin-1").translate(_SIGNS) for w in words]
 
 
+def decoded(words: list[bytes]) -> list[str]:
+    """Words without line ends as text, all at once."""
+    return b"\n".join(words).decode("utf-8", "replace").split("\n") if words else []
+
+
 def whole_words(bare, words: list[str], closing: np.ndarray | None = None, group: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words in a row, ids of each) by a tokenizer that takes words as they are; groups spare an object a word.
 
@@ -123,11 +128,12 @@ def whole_words(bare, words: list[str], closing: np.ndarray | None = None, group
     ids, sizes = [], []
     for i in range(0, len(words), group):
         part = words[i:i + group]
-        found = bare.encode(part, is_pretokenized=True, add_special_tokens=False)
-        ids.append(np.array(found.ids, np.int64))
-        if closing is not None:
+        if closing is not None:  # without offsets, which the plain call keeps
+            ids.append(np.array(bare.encode_batch_fast([part], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64))
             sizes.append(np.diff(np.flatnonzero(closing[ids[-1]]), prepend=-1))
         else:
+            found = bare.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.int64))
             sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
     none = [np.zeros(0, np.int64)]
     return np.concatenate(ids or none), np.concatenate(sizes or none)

@@ -82,6 +82,21 @@ def test_any_text(texts):
     assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:])] == [tokens(t)[:-1] for t in texts]
 
 
+def test_words_are_encoded_without_offsets():
+    """Words go to the tokenizer's fast call, many at a time, and are read as text as one by one."""
+
+    class Fast:
+        def encode_batch_fast(self, *args, **kwargs):
+            return WORDS.bare.encode_batch_fast(*args, **kwargs)
+
+    words = [w for t in HOSTILE for w in t.lower().encode().split()][:600] + [b"ab\xc3", b"\xff", b"\xe2\x82", "née".encode()]
+    assert slots.decoded(words) == [w.decode("utf-8", "replace") for w in words] and slots.decoded([]) == [] and slots.decoded([b""]) == [""]
+    signs = slots.in_signs([w for w in words if w])
+    ids, sizes = slots.whole_words(Fast(), signs, WORDS.closing, 7)
+    plain = [WORDS.bare.encode([w], is_pretokenized=True, add_special_tokens=False).ids for w in signs]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == plain
+
+
 def test_slots_hold_many():
     table = slots.Slots()
     names = np.random.default_rng(1).integers(0, 1 << 63, 200_000, dtype=np.uint64)
