@@ -31,9 +31,14 @@ MARK = 256  # symbols between two marks
 def packed(numbers: np.ndarray, bits: int) -> bytes:
     """Whole numbers below 2^bits as a string of bits, the lowest bit first."""
     out = []
-    for i in range(0, len(numbers), 1 << 16):  # a multiple of eight numbers ends at a byte
-        part = np.ascontiguousarray(numbers[i:i + (1 << 16)].astype("<u4")).view(np.uint8).reshape(-1, 4)
-        out.append(np.packbits(np.unpackbits(part, axis=1, bitorder="little")[:, :bits], bitorder="little").tobytes())
+    for i in range(0, len(numbers), 1 << 16):  # eight numbers end at a byte
+        part = numbers[i:i + (1 << 16)].astype("<u8") & np.uint64((1 << bits) - 1)
+        rows = -(-len(part) // 8)
+        body = np.zeros((rows, bits + 8), np.uint8)  # eight numbers a row, and room for the last one's 64 bits
+        for r in range(8):
+            own = part[r::8]
+            np.ndarray(len(own), "<u8", body, r * bits // 8, (bits + 8,))[:] |= own << np.uint64(r * bits % 8)
+        out.append(body[:, :bits].tobytes()[:-(-len(part) * bits // 8)])
     return b"".join(out)
 
 
@@ -42,11 +47,13 @@ def unpacked(body: memoryview, bits: int, start: int, stop: int) -> np.ndarray:
     if stop <= start:
         return np.zeros(0, np.int64)
     first = start * bits // 8
-    flags = np.unpackbits(np.frombuffer(body[first:-(-stop * bits // 8)], np.uint8), bitorder="little")
-    flags = flags[start * bits - 8 * first:][:(stop - start) * bits].reshape(-1, bits)
-    wide = np.zeros((len(flags), 32), np.uint8)
-    wide[:, :bits] = flags
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1).astype(np.int64)
+    read = np.concatenate([np.frombuffer(body[first:-(-stop * bits // 8)], np.uint8), np.zeros(8, np.uint8)])
+    out = np.empty(stop - start, np.int64)
+    for r in range(min(8, len(out))):  # every eighth number begins at the same bit of a byte
+        byte, bit = divmod((start + r) * bits - 8 * first, 8)
+        own = np.ndarray(len(out[r::8]), "<u8", read, byte, (bits,))
+        out[r::8] = (own >> np.uint64(bit)) & np.uint64((1 << bits) - 1)
+    return out
 
 
 @dataclass
@@ -66,8 +73,11 @@ def _winners(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     Pairs are counted by a hash of ``BITS`` bits; of several that share it one is taken, the rest wait for a later round.  Of
     equal neighbours (a run of one symbol) those at odd places win.
     """
-    name = symbols.astype(np.uint32)
-    name = ((name[:-1] * np.uint32(0x9E3779B1) + name[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)).astype(np.intp)
+    own = symbols.view(np.uint32)
+    name = own[:-1] * np.uint32(0x9E3779B1)
+    name += own[1:] * np.uint32(0x85EBCA77)
+    name >>= np.uint32(32 - BITS)
+    name = name.astype(np.intp)
     counts = np.bincount(name, minlength=1 << BITS)
     often = np.flatnonzero(counts >= max(least, int(counts.max()) // SHARE))
     ranks = np.zeros(1 << BITS, np.int32)

@@ -115,6 +115,15 @@ def in_signs(words: list[bytes]) -> list[str]:
     return [w.decode("latin-1").translate(_SIGNS) for w in words]
 
 
+_WIDE_SIGNS = np.array([ord(_SIGNS[b]) for b in range(256)], "<u4")
+_WIDE_SIGNS[0x0A] = 0x0A
+
+
+def lines_in_signs(words: list[bytes]) -> list[str]:
+    """``in_signs`` of words without line ends, all at once."""
+    return _WIDE_SIGNS[np.frombuffer(b"\n".join(words), np.uint8)].tobytes().decode("utf-32-le").split("\n") if words else []
+
+
 def decoded(words: list[bytes]) -> list[str]:
     """Words without line ends as text, all at once."""
     return b"\n".join(words).decode("utf-8", "replace").split("\n") if words else []

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrain.llm.repair import Shard, compressed, to_bytes
-from daygrain.llm.slots import Kept, Runs, blocks, decoded, flattened, in_signs, interleaved, whole_words
+from daygrain.llm.slots import Kept, Runs, blocks, decoded, flattened, interleaved, lines_in_signs, whole_words
 from daygrain.llm.text import LOWER, flat
 from daygrain.session import shared_path, written
 
@@ -77,8 +77,7 @@ class WordIds:
         for i in range(0, len(words), 8192):
             part = decoded(words[i:i + 8192])
             plain = np.array([m is not None for m in map(_PLAIN, part)])
-            # small letters without accents are their own signs
-            signs = [part[k] if part[k].isascii() else in_signs([words[i + k]])[0] for k in np.flatnonzero(plain).tolist()]
+            signs = lines_in_signs([words[i + k] for k in np.flatnonzero(plain).tolist()])
             easy = whole_words(self.bare, signs, self.closing)
             hard = self.tokenizer.encode_batch_fast([part[k] for k in np.flatnonzero(~plain).tolist()], add_special_tokens=False)
             ids, sizes = interleaved(plain, easy, flattened([e.ids for e in hard]))

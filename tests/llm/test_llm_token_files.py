@@ -163,3 +163,39 @@ def test_hashes_depend_on_the_span_alone():
         assert names.setdefault(body[a:b].tobytes(), h) == h
     assert len(set(names.values())) == len(names)
     assert slots.span_hashes(body[-3:], np.array([0, 2]), np.array([3, 3])).tolist() == slots.span_hashes(body, np.array([4997, 4999]), np.array([5000, 5000])).tolist()
+
+
+def bits_one_by_one(numbers, bits):
+    """The documented string of bits: the lowest bit of a number first, bytes filled from their lowest bit."""
+    flags = [n >> k & 1 for n in numbers for k in range(bits)]
+    flags += [0] * (-len(flags) % 8)
+    return bytes(sum(f << k for k, f in enumerate(flags[i:i + 8])) for i in range(0, len(flags), 8))
+
+
+@pytest.mark.parametrize("bits", [1, 2, 5, 7, 8, 9, 16, 17, 24, 31, 32])
+def test_strings_of_bits_of_any_length(bits):
+    rng = np.random.default_rng(bits)
+    for n in (*range(20), 1003):
+        numbers = rng.integers(0, 1 << bits, n)
+        body = repair.packed(numbers, bits)
+        assert body == bits_one_by_one(numbers.tolist(), bits)
+        for a in range(0, n, 1 + n // 20):
+            for b in (a, a + 1, (a + n) // 2, n):
+                assert (repair.unpacked(memoryview(body), bits, a, b) == numbers[a:b]).all()
+
+
+def test_bits_are_moved_as_numbers(monkeypatch):
+    """Not bit by bit: that took most of the time of reading a shard."""
+    def refused(*_, **__):
+        raise AssertionError("bits one by one")
+
+    numbers = np.arange(100_000) % 40_961
+    monkeypatch.setattr(np, "unpackbits", refused)
+    monkeypatch.setattr(np, "packbits", refused)
+    assert (repair.unpacked(memoryview(repair.packed(numbers, 17)), 17, 7, 99_999) == numbers[7:99_999]).all()
+
+
+def test_signs_of_lines_equal_those_of_words():
+    words = [bytes([b]) for b in range(256) if b != 0x0A] + ["été".encode(), b"", "ŉ日本".encode()] + [bytes(b for b in range(256) if b != 0x0A)]
+    assert slots.lines_in_signs(words) == slots.in_signs(words)
+    assert slots.lines_in_signs([]) == []
