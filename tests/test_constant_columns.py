@@ -79,3 +79,13 @@ def test_information_of_the_columns_that_vary(spark, tables):
     varying = ("prectotcorr", "ws10m")
     sql = with_panel(f"SELECT feature, {r('mi')} AS mi FROM (" + " UNION ALL ".join(panel_mi_sql(c, 20) for c in varying) + ")", ("t2m", *varying))
     assert sorted(tuple(row) for row in got) == sorted(con.execute(sql).fetchall()) and len(got) == 2
+
+
+def test_information_where_no_column_varies(spark, tables, tmp_path):
+    """One quantity on one line a day: no column has a correlation, so the report keeps none."""
+    one = spark.read.parquet(f"{tables}/lineitem.parquet").where("l_linenumber = 0 AND l_returnflag = 'A'")
+    one.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = registry.queries()["c5_selection_information"](spark, str(tmp_path))
+    assert got.columns == ["feature", "mi"] and got.collect() == []
+    assert registry.queries()["t2_top_features"](spark, str(tmp_path)).collect() == []
+    assert len(registry.queries()["m8_feature_list"](spark, str(tmp_path)).collect()) == 7
